@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def reject_histogram(classified: DataFrame, by: Sequence[str] = ("hospital",)) -> DataFrame:
@@ -79,34 +79,55 @@ def orphans(measurements: DataFrame, visits: DataFrame, patients: DataFrame,
 
 def orphan_count(measurements: DataFrame, visits: DataFrame, patients: DataFrame,
                  scope: Sequence[str], visit: str, person: str) -> DataFrame:
-    """Number of :func:`orphans` as ``orphan_rows``, without joining row by row.
+    """Number of :func:`orphans` as ``orphan_rows``, by counting keys instead of joining rows.
 
-    Rows shrink to one per visit and person, then to one per person, each before its
-    join, so neither a visit nor a person with a large share of all rows makes a hot key.
+    Visits must be unique per scope and visit.  Each step stacks child counts and parent
+    keys and aggregates them together: the counts combine before the shuffle, so neither
+    a visit nor a person with a large share of all rows makes a hot key.
     """
     scope = list(scope)
-    v = visits.select(*scope, visit, F.col(person).alias("_owner"), F.lit(True).alias("_visit"))
-    pairs = measurements.groupBy(*scope, visit, person).agg(F.count(F.lit(1)).alias("_rows"))
-    bad = F.col("_visit").isNull() | (F.col(person) != F.col("_owner"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    pairs = (
+        measurements.select(*scope, visit, person, one.alias("_rows"), none.alias("_parents"))
+        .unionByName(visits.select(*scope, visit, person, none.alias("_rows"), one.alias("_parents")))
+        .groupBy(*scope, visit, person)
+        .agg(F.sum("_rows").alias("_rows"), F.sum("_parents").alias("_parents"))
+        .where("_rows > 0")
+    )
+    bad = (F.col("_parents") == 0) | F.col(visit).isNull()
     persons = (
-        pairs.join(v, [*scope, visit], "left")
+        pairs.select(
+            *scope, person, "_rows", F.when(bad, F.col("_rows")).otherwise(none).alias("_bad"),
+            none.alias("_parents"),
+        )
+        .unionByName(patients.select(
+            *scope, person, none.alias("_rows"), none.alias("_bad"), one.alias("_parents")))
         .groupBy(*scope, person)
-        .agg(F.sum("_rows").alias("_rows"),
-             F.sum(F.when(bad, F.col("_rows")).otherwise(F.lit(0))).alias("_bad"))
+        .agg(*[F.sum(c).alias(c) for c in ("_rows", "_bad", "_parents")])
     )
-    p = patients.select(*scope, person, F.lit(True).alias("_person"))
-    counted = F.when(F.col("_person").isNull(), F.col("_rows")).otherwise(F.col("_bad"))
-    return persons.join(p, [*scope, person], "left").agg(
-        F.coalesce(F.sum(counted), F.lit(0)).alias("orphan_rows")
+    unknown = (F.col("_parents") == 0) | F.col(person).isNull()
+    return persons.agg(
+        F.coalesce(
+            F.sum(F.when(unknown, F.col("_rows")).otherwise(F.col("_bad"))), none
+        ).alias("orphan_rows")
     )
 
 
-def gate_rows(checks: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
-    """One row ``gate, observed`` per check, all in one query."""
-    out = None
-    for gate, table, measure in checks:
-        row = table.agg(measure.cast("long").alias("observed")).select(
-            F.lit(gate).alias("gate"), "observed"
+def key_counts(tables: dict[str, DataFrame], keys: dict[str, Sequence[str]]) -> DataFrame:
+    """Per table: ``rows`` and ``conflicts`` (keys on more than one row), in one aggregation.
+
+    Tables with the same number of key columns are stacked under their name.
+    """
+    stacked = None
+    for name, table in tables.items():
+        row = table.select(
+            F.lit(name).alias("table"),
+            *[F.col(c).alias(f"k{i}") for i, c in enumerate(keys[name])],
         )
-        out = row if out is None else out.unionByName(row)
-    return out
+        stacked = row if stacked is None else stacked.unionByName(row)
+    names = stacked.columns
+    return (
+        stacked.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("table")
+        .agg(F.sum("_n").alias("rows"), F.count_if(F.col("_n") > 1).alias("conflicts"))
+    )

@@ -131,3 +131,42 @@ def key_counts(tables: dict[str, DataFrame], keys: dict[str, Sequence[str]]) ->
         .groupBy("table")
         .agg(F.sum("_n").alias("rows"), F.count_if(F.col("_n") > 1).alias("conflicts"))
     )
+
+
+def gate_report(classified: DataFrame, clean: DataFrame, sites: Sequence[str],
+                max_reject_ratio: float) -> DataFrame:
+    """The row gates in order: ``gate, code, observed, threshold, passed``.
+
+    ``clean`` holds the distinct accepted rows.  The first row that did not pass names the
+    failure of the batch.
+    """
+    number = lambda c: c.cast("double")
+    totals = reject_ratio(classified)
+    found = F.count_distinct(F.when(F.col("hospital").isin(*sites), F.col("hospital")))
+    rows = F.count(F.lit(1))
+
+    def row(gate: int, code: str, table: DataFrame, observed, threshold, passed) -> DataFrame:
+        return table.agg(number(observed).alias("observed")).select(
+            F.lit(gate).alias("gate"), F.lit(code).alias("code"), "observed",
+            F.lit(float(threshold)).alias("threshold"),
+            F.coalesce(passed(F.col("observed")), F.lit(False)).alias("passed"),
+        )
+
+    none = lambda c: c == 0
+    gates = [
+        row(6, "EMPTY_BATCH", totals, F.max("input_rows"), 0, lambda c: c > 0),
+        row(7, "REJECT_RATIO_EXCEEDED", totals, F.max("ratio"), max_reject_ratio,
+            lambda c: c <= max_reject_ratio),
+        row(8, "HOSPITAL_WITHOUT_VALID_ROWS", clean, found, len(sites),
+            lambda c: c == len(sites)),
+        row(9, "CONFLICTING_MEASUREMENT",
+            conflicting_keys(clean, ["hospital", "measurement_id"]), rows, 0, none),
+        row(10, "CONFLICTING_PERSON",
+            conflicting_values(clean, ["hospital", "person_id"], "birth_year"), rows, 0, none),
+        row(11, "CONFLICTING_VISIT",
+            conflicting_values(clean, ["hospital", "visit_id"], "person_id"), rows, 0, none),
+    ]
+    out = gates[0]
+    for gate in gates[1:]:
+        out = out.unionByName(gate)
+    return out

@@ -438,7 +438,8 @@ def csv_roundtrip(spark, sf_dir):
     folder = deliver_files(spark, delivered(spark, sf_dir, one_day=True))
     lines = _lines(spark, folder).withColumn("kind", landing.line_kind(F.col("value")))
     rows = typed_rows(lines, BATCH_DAY, DEMO_KEY, DEFAULT, ("kind",))
-    return rows.where("kind = 'row' AND NOT is_header").groupBy("hospital", "reason").agg(
+    outcome = F.coalesce("reason", F.lit("ACCEPTED")).alias("outcome")
+    return rows.where("kind = 'row' AND NOT is_header").groupBy("hospital", outcome).agg(
         row_count().alias("rows"))
 
 
@@ -515,7 +516,8 @@ def generated_rows(spark, sf_dir):
         first = site_rows(numbers.agg(F.min("id").alias("id")), site, F.lit(BATCH_DAY))
         part = clean.unionByName(dirty_rows(first)).withColumn("hospital", F.lit(site))
         rows = part if rows is None else rows.unionByName(part)
-    return classify(rows, BATCH_DAY).groupBy("hospital", "reason").agg(
+    outcome = F.coalesce("reason", F.lit("ACCEPTED")).alias("outcome")
+    return classify(rows, BATCH_DAY).groupBy("hospital", outcome).agg(
         row_count().alias("rows"), F.count_distinct("patient_id").alias("patients"))
 
 

@@ -121,10 +121,10 @@ def contract_decimal(text: Column, low: int, high: int, factor: Column) -> Colum
     """
     if not 0 <= low <= high < 100000:
         raise ValueError("the range must lie within 0..99999")
-    clean = ascii_digits(F.replace(text, F.lit("_"), F.lit("")))
-    short = clean.try_cast("decimal(23,18)")
+    short = text.try_cast("decimal(23,18)")
     converted = F.bround(short * factor.cast("decimal(2,0)"), 4).cast(_RESULT)
+    clean = ascii_digits(F.replace(text, F.lit("_"), F.lit("")))
     return F.when(
-        full_match(clean, r"[0-9]{1,5}(?:\.[0-9]{0,18})?"),
+        full_match(text, r"[0-9]{1,5}(?:\.[0-9]{0,18})?"),
         F.when((short >= low) & (short <= high), converted),
-    ).otherwise(_long_form(clean, low, high, factor))
+    ).otherwise(_bind(clean, lambda number: _long_form(number, low, high, factor)))

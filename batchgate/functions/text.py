@@ -23,8 +23,14 @@ _NARROW = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 
 
 def strip(column: Column) -> Column:
-    """Remove leading and trailing Unicode whitespace."""
-    return F.btrim(column, F.lit(WHITESPACE))
+    """Remove leading and trailing Unicode whitespace.
+
+    Trimming by a set of characters is slow; values that start and end with a visible
+    ASCII character do not need it.
+    """
+    return F.when(column.rlike(r"\A[!-~](?s:.*[!-~])?\z"), column).otherwise(
+        F.btrim(column, F.lit(WHITESPACE))
+    )
 
 
 def is_blank(column: Column) -> Column:

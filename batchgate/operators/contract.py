@@ -77,9 +77,10 @@ def site_date(column: Column, site: Column, separators: Mapping[str, str]) -> Co
         )
         plain = F.replace(ascii_digits(column), F.lit(separator), F.lit("-"))
         parsed = F.when(
-            (site == name) & full_match(column, shape), plain.try_cast("date")
+            (site == name) & full_match(column, shape) & ~plain.startswith("0000"),
+            plain.try_cast("date"),
         ).otherwise(parsed)
-    return F.when(F.year(parsed) >= 1, parsed)
+    return parsed
 
 
 def unit_factor(unit: Column, factors: Mapping[str, int]) -> Column:

@@ -43,21 +43,23 @@ def tree_depth(rows: int) -> int:
 
 
 def tree_digest(hashes: DataFrame, depth: int, by: Sequence[str] = ()) -> DataFrame:
-    """Columns ``by`` plus ``digest`` over the column ``h`` of row hashes.
+    """Columns ``by`` plus ``digest`` over the column ``h`` of row hashes (hex).
 
-    Hashes meet by prefix, sorted, so order and partitioning do not matter and no value
-    grows with the table.  Without ``by`` an empty table gives the empty string.
+    A node is the sha256 of the joined bytes of its sorted children; leaves collect the row
+    hashes that share ``depth`` hex digits, and upper nodes carry their prefix in front of
+    their hash.  Order and partitioning do not matter, and no value grows with the table.
+    Without ``by`` an empty table gives the empty string.
     """
-    level = hashes.select(*by, "h")
+    node = "sha2(listagg(b, X'') WITHIN GROUP (ORDER BY b), 256)"
+    prefix = F.substring("h", 1, depth)
+    level = hashes.select(*by, prefix.alias("p"), F.unhex("h").alias("b"))
     while depth > 0:
-        level = (
-            level.groupBy(*by, F.substring("h", 1, depth).alias("p"))
-            .agg(F.expr("sha2(listagg(h, '') WITHIN GROUP (ORDER BY h), 256)").alias("d"))
-            .select(*by, F.concat("p", "d").alias("h"))
-        )
         depth = max(0, depth - _STEP)
-    final = F.expr("coalesce(sha2(listagg(h, '') WITHIN GROUP (ORDER BY h), 256), '')")
-    return level.groupBy(*by).agg(final.alias("digest"))
+        level = level.groupBy(*by, "p").agg(F.expr(node).alias("d")).select(
+            *by, F.substring("p", 1, depth).alias("p"),
+            F.concat(F.encode("p", "UTF-8"), F.unhex("d")).alias("b"),
+        )
+    return level.groupBy(*by).agg(F.expr(f"coalesce({node}, '')").alias("digest"))
 
 
 def table_digest(table: DataFrame, columns: Sequence[str], rows: int) -> DataFrame:

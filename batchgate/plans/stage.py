@@ -10,6 +10,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from batchgate.errors import BatchError
+from batchgate.functions.tokens import pack_tokens
 from batchgate.operators.contract import CANONICAL, Contract, canonical, classify
 from batchgate.operators.gates import quarantine
 from batchgate.sources import landing
@@ -52,44 +53,70 @@ def typed_rows(records: DataFrame, day: date, key: bytes, contract: Contract,
     )
 
 
+def _token_columns(contract: Contract) -> list[str]:
+    return [rule.target for rule in contract.ids.values()]
+
+
 def stage_lines(spark: SparkSession, paths: Sequence[str], day: date, key: bytes,
                 contract: Contract) -> DataFrame:
     """Every line as a record of its own; lines that cannot be one say so in ``kind``."""
+    value = F.col("value")
     lines = landing.read_lines(spark, paths).withColumns({
-        "line_hash": landing.line_hash(F.col("value")),
-        "kind": landing.line_kind(F.col("value")),
+        "line_hash": landing.line_hash(value), "kind": landing.line_kind(value),
+        "stays": landing.stays_open(value), "wide": landing.too_wide(value),
     })
-    return typed_rows(lines, day, key, contract, ("file", "block", "mid", "line_hash", "kind"))
+    keep = (*landing.LINE_KEY[1:], "line_hash", "kind", "stays", "wide")
+    return pack_tokens(typed_rows(lines, day, key, contract, keep), _token_columns(contract))
 
 
-def stage_records(spark: SparkSession, path: str, day: date, key: bytes, contract: Contract,
-                  scratch: str) -> DataFrame:
-    """A site whose quoted fields span lines: put records together first."""
-    landing.read_lines(spark, [path]).write.parquet(f"{scratch}/lines")
-    numbered = landing.number_lines(spark.read.parquet(f"{scratch}/lines"))
-    landing.quote_states(numbered).write.parquet(f"{scratch}/marked")
-    marked = spark.read.parquet(f"{scratch}/marked")
-    if not landing.oversized_records(marked, len(contract.columns)).isEmpty():
-        raise BatchError("INTERNAL_ERROR")
+def find_spanning(staged: DataFrame, sites: Sequence[str], offsets: DataFrame) -> DataFrame:
+    """Locators of all lines that belong to line-spanning records: ``LINE_KEY``, ``record``,
+    ``line``, ``line_hash``.  Works on the narrow flags of the staged lines."""
+    lines = staged.where(F.col("hospital").isin(*sites)).select(
+        *landing.LINE_KEY, "line_hash", (F.col("kind") == "open").alias("opens"), "stays")
+    spanning = landing.spanning_lines(landing.quote_states(lines))
+    return landing.locate(spanning, offsets).select(
+        *landing.LINE_KEY, "record", "line", "line_hash")
+
+
+def stage_spanning(spark: SparkSession, paths: Sequence[str], spanning: DataFrame, day: date,
+                   key: bytes, contract: Contract, scratch: str) -> DataFrame:
+    """Line-spanning records put together and typed, from a second look at their lines.
+
+    Splits are cut as in the first scan, and every line must hash to what that scan saw.
+    """
     value = F.col("value")
-    longest = F.array_max(F.transform(landing.raw_fields(value), lambda f: F.length(landing.unquote(f))))
+    same = landing.line_hash(value) == F.col("line_hash")
+    landing.read_lines(spark, paths).join(spanning, list(landing.LINE_KEY)).withColumn(
+        "value", F.when(same, value).otherwise(F.raise_error(F.lit("line changed")))
+    ).write.parquet(f"{scratch}/text")
+    text = spark.read.parquet(f"{scratch}/text")
+    if text.count() != spanning.count():
+        raise BatchError("INTERNAL_ERROR")
+    if not landing.oversized_records(text, len(contract.columns)).isEmpty():
+        raise BatchError("INTERNAL_ERROR")
     kind: Column = (
         F.when(~F.is_valid_utf8(value), "undecodable")
-        .when((F.length(value) > landing.FIELD_LIMIT) & (longest > landing.FIELD_LIMIT), "oversized")
-        .otherwise("row")
+        .when(landing.too_wide(value), "oversized").otherwise("row")
     )
-    records = landing.assemble_records(marked).withColumn("kind", kind)
-    return typed_rows(records, day, key, contract, ("file", "line", "kind"))
+    records = landing.join_records(text).withColumn("kind", kind)
+    typed = typed_rows(records, day, key, contract, ("file", "line", "kind"))
+    pack_tokens(typed, _token_columns(contract)).write.parquet(f"{scratch}/records")
+    return spark.read.parquet(f"{scratch}/records")
 
 
 def stage(spark: SparkSession, deliveries: Sequence[Delivery], folder: str, day: date, key: bytes,
           contract: Contract, scratch: str) -> Staged:
+    """Scan the delivery once; put line-spanning records together where a site has any.
+
+    The tokens of ``accepted`` are packed.
+    """
     sites = [d.site for d in deliveries]
-    paths = {s: landing.data_path(folder, s) for s in sites}
-    stage_lines(spark, list(paths.values()), day, key, contract).write.parquet(f"{scratch}/stage")
+    paths = [landing.data_path(folder, s) for s in sites]
+    stage_lines(spark, paths, day, key, contract).write.parquet(f"{scratch}/stage")
     staged = spark.read.parquet(f"{scratch}/stage")
 
-    outcome = ("kind", "is_header", "reason")
+    outcome = ["kind", "is_header", "reason"]
     landing.line_sums(staged, ("hospital", "file", "block", *outcome)).write.parquet(
         f"{scratch}/tallies")
     tallies = spark.read.parquet(f"{scratch}/tallies")
@@ -103,41 +130,40 @@ def stage(spark: SparkSession, deliveries: Sequence[Delivery], folder: str, day:
     ).collect()
 
     result = Staged(staged, staged, summaries)
-    files_with_header = Counter(r["hospital"] for r in summaries if r["has_header"])
-    for delivery in deliveries:
-        if files_with_header[delivery.site] != len(delivery.data):
-            result.bad_header.add(delivery.site)
-    slow = {r["hospital"] for r in counts if r["kind"] == "open"}
+    headers = Counter(r["hospital"] for r in summaries if r["has_header"])
+    result.bad_header = {d.site for d in deliveries if headers[d.site] != len(d.data)}
     result.unreadable = {r["hospital"] for r in counts if r["kind"] == "undecodable"}
+    slow = {r["hospital"] for r in counts if r["kind"] == "open"}
     result.engine = {s: "records" if s in slow else "lines" for s in sites}
 
-    headers = Counter(files_with_header)
-    for row in counts:
-        site = row["hospital"]
-        if site in slow or row["kind"] != "row":
-            continue
-        # The header line of each file went through the contract like any other line.
-        header = headers.pop(site, 0) if row["is_header"] else 0
-        result.tally(site, row["reason"], row["lines"] - header)
-
-    is_row = F.col("kind") == "row"
-    fast = staged.where(~F.col("hospital").isin(*slow)) if slow else staged
-    accepted = fast.where(is_row & F.col("reason").isNull()).select(*CANONICAL)
-    rejected = quarantine(
-        landing.locate(fast.where(is_row & F.col("reason").isNotNull()), blocks)
-        .where("line > 1")
-    )
-    readable = slow - result.bad_header - result.unreadable
-    for site in sorted(readable):
-        place = f"{scratch}/records_{site}"
-        stage_records(spark, paths[site], day, key, contract, place).write.parquet(
-            f"{place}/stage")
-        rows = spark.read.parquet(f"{place}/stage").where("line > 1")
-        for row in rows.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("rows")).collect():
+    records = None
+    single = staged
+    slow -= result.bad_header | result.unreadable
+    if slow:
+        find_spanning(staged, sorted(slow), blocks).write.parquet(f"{scratch}/spanning")
+        spanning = spark.read.parquet(f"{scratch}/spanning")
+        records = stage_spanning(spark, paths, spanning, day, key, contract, scratch)
+        single = staged.join(spanning, list(landing.LINE_KEY), "left_anti")
+        counts = single.groupBy("hospital", *outcome).agg(
+            F.count(F.lit(1)).alias("lines"), F.bool_or("wide").alias("wide")).collect()
+        result.unreadable |= {r["hospital"] for r in counts if r["wide"]} & slow
+        for row in records.groupBy("hospital", "kind", "reason").agg(
+                F.count(F.lit(1)).alias("lines")).collect():
             if row["kind"] != "row":
-                result.unreadable.add(site)
-            result.tally(site, row["reason"], row["rows"])
-        accepted = accepted.unionByName(rows.where(F.col("reason").isNull()).select(*CANONICAL))
-        rejected = rejected.unionByName(quarantine(rows))
-    result.accepted, result.rejected = accepted, rejected
+                result.unreadable.add(row["hospital"])
+            result.tally(row["hospital"], row["reason"], row["lines"])
+    for row in counts:
+        if row["kind"] == "row":
+            # The header line of each file went through the contract like any other line.
+            header = headers.pop(row["hospital"], 0) if row["is_header"] else 0
+            result.tally(row["hospital"], row["reason"], row["lines"] - header)
+
+    rows = single.where(F.col("kind") == "row")
+    result.accepted = rows.where(F.col("reason").isNull()).select(*CANONICAL)
+    result.rejected = quarantine(
+        landing.locate(rows.where(F.col("reason").isNotNull()), blocks).where("line > 1"))
+    if records is not None:
+        result.accepted = result.accepted.unionByName(
+            records.where(F.col("reason").isNull()).select(*CANONICAL))
+        result.rejected = result.rejected.unionByName(quarantine(records))
     return result

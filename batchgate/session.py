@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,37 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     return builder.getOrCreate()
 
 
+# One reduce task per this many delivered bytes, up to a number that keeps the shuffle's
+# block count (map tasks times reduce tasks) in hand; larger tasks spill to disk.
+_BYTES_PER_TASK = 256 << 20
+_MAX_TASKS = 50_000
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Shuffles start with enough partitions for the volume; AQE merges what is too small.
+
+    Also pins how files are cut into splits, which would otherwise follow the number of
+    executors of the moment, so that two scans of one batch see the same splits.
+    """
+    conf = spark.conf
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    floor = "spark.sql.files.minPartitionNum"
+    tasks = max(int(conf.get("spark.sql.shuffle.partitions")),
+                min(_MAX_TASKS, input_bytes // _BYTES_PER_TASK))
+    settings = {initial: str(tasks)}
+    if conf.get(floor, None) is None:
+        settings[floor] = str(spark.sparkContext.defaultParallelism)
+    before = {name: conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder for tables that cut lineage, in the area all executors share.
 

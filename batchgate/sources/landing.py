@@ -110,7 +110,7 @@ def line_kind(line: Column) -> Column:
     return (
         F.when(line == "", "blank")
         .when(~F.is_valid_utf8(line), "undecodable")
-        .when(line.contains('"') & line.rlike(_OPENS), "open")
+        .when(opens(line), "open")
         .otherwise("row")
     )
 
@@ -248,6 +248,9 @@ def control_texts(spark: SparkSession, deliveries: Sequence[Delivery]) -> dict[s
 # --- records that span lines --------------------------------------------------------
 
 
+LINE_KEY = ("hospital", "file", "block", "mid")
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Lines with their file-wide ``line`` number, from the counts per split."""
     blocks = lines.groupBy("hospital", "file", "block").agg(
@@ -256,45 +259,45 @@ def number_lines(lines: DataFrame) -> DataFrame:
     return locate(lines, with_offsets(blocks))
 
 
+def opens(line: Column) -> Column:
+    """Does a line that starts outside quotes end inside them?"""
+    return line.contains('"') & line.rlike(_OPENS)
+
+
+def stays_open(line: Column) -> Column:
+    """Does a line that starts inside quotes end inside them?"""
+    return ~line.contains('"') | line.rlike(_STAYS_OPEN)
+
+
 def quote_states(lines: DataFrame) -> DataFrame:
     """Mark where records start: adds ``starts``, ``ends_open`` and ``record``.
 
-    ``lines`` must be materialised (``mid`` is compared across two reads).  Each line maps
-    the state "inside quotes" before it to the state after it; most lines keep it.  The
-    maps compose per split first, then over the few splits of a file, so no file is ever
-    walked by one task.  ``record`` is the ``mid`` of the record's first line.
+    ``lines`` carries the flags ``opens`` and ``stays`` of the functions above and must be
+    materialised (``mid`` is compared across two reads).  The flags map the state "inside
+    quotes" before a line to the state after it; most lines keep it.  The maps compose per
+    split first, then over the few splits of a file, so no file is ever walked by one task.
+    ``record`` is the ``mid`` of the record's first line.
     """
     keys = ["hospital", "file", "block"]
-    has_quote = F.col("value").contains('"')
-    from_outside = has_quote & F.col("value").rlike(_OPENS)
-    from_inside = ~has_quote | F.col("value").rlike(_STAYS_OPEN)
-    mapped = lines.select(
-        "*", from_outside.alias("_out"), from_inside.alias("_in")
-    )
     in_block = Window.partitionBy(*keys).orderBy("mid")
     so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    flips = F.sum((F.col("_out") & ~F.col("_in")).cast("int")).over(so_far) % 2 == 1
-    scanned = mapped.withColumn("_flips", flips).withColumn(
+    flips = F.sum((F.col("opens") & ~F.col("stays")).cast("int")).over(so_far) % 2 == 1
+    scanned = lines.withColumn("_flips", flips).withColumn(
         "_fixed",
         F.last(
-            F.when(F.col("_out") == F.col("_in"), F.col("_out") != F.col("_flips")),
+            F.when(F.col("opens") == F.col("stays"), F.col("opens") != F.col("_flips")),
             ignorenulls=True,
         ).over(so_far),
     )
     # The same composition, one row per split.
-    block = scanned.groupBy(*keys).agg(
-        F.max_by("_flips", "mid").alias("_flips"), F.max_by("_fixed", "mid").alias("_fixed")
-    )
     over_file = Window.partitionBy("hospital", "file").orderBy("block")
     before = over_file.rowsBetween(Window.unboundedPreceding, -1)
     flips_before = F.coalesce(F.sum(F.col("_flips").cast("int")).over(before), F.lit(0)) % 2 == 1
-    block = block.withColumn("_before", flips_before)
+    block = scanned.groupBy(*keys).agg(
+        F.max_by("_flips", "mid").alias("_flips"), F.max_by("_fixed", "mid").alias("_fixed")
+    ).withColumn("_before", flips_before)
     fixed = F.last(
-        F.when(
-            F.col("_fixed").isNotNull(),
-            F.col("_fixed") != F.col("_before"),
-        ),
-        ignorenulls=True,
+        F.when(F.col("_fixed").isNotNull(), F.col("_fixed") != F.col("_before")), ignorenulls=True
     ).over(before)
     entry = block.select(
         *keys, (F.coalesce(fixed, F.lit(False)) != F.col("_before")).alias("_entry")
@@ -304,7 +307,7 @@ def quote_states(lines: DataFrame) -> DataFrame:
     prior = F.coalesce(F.lag("ends_open").over(in_block), F.col("_entry"))
     started = stated.withColumn("starts", ~prior)
     own = F.last(F.when(F.col("starts"), F.col("mid")), ignorenulls=True).over(so_far)
-    started = started.withColumn("_own", own).drop("_out", "_in", "_flips", "_fixed", "_entry")
+    started = started.withColumn("_own", own).drop("_flips", "_fixed", "_entry")
     heads = started.groupBy(*keys).agg(F.max("_own").alias("_last")).withColumn(
         "_carried", F.last("_last", ignorenulls=True).over(before)
     )
@@ -313,26 +316,33 @@ def quote_states(lines: DataFrame) -> DataFrame:
     ).drop("_own", "_carried")
 
 
-def assemble_records(marked: DataFrame) -> DataFrame:
-    """One row per record: ``hospital, file, line`` (its last physical line) and ``value``.
+def spanning_lines(marked: DataFrame) -> DataFrame:
+    """The lines of records that span lines, from :func:`quote_states`."""
+    return marked.where(~F.col("starts") | F.col("ends_open"))
+
+
+def join_records(spanning: DataFrame) -> DataFrame:
+    """One row per line-spanning record: ``hospital, file, line`` (its last) and ``value``.
 
-    Only the lines of records that really span lines are grouped.  ``marked`` comes from
-    :func:`quote_states` plus line numbers; :func:`oversized_records` must be empty, which
-    bounds every group.
+    :func:`oversized_records` must be empty, which bounds every group.
     """
-    single = marked.where(F.col("starts") & ~F.col("ends_open") & (F.col("value") != ""))
-    spanning = marked.where(~F.col("starts") | F.col("ends_open"))
-    joined = spanning.groupBy("hospital", "file", "record").agg(
+    return spanning.groupBy("hospital", "file", "record").agg(
         F.max("line").alias("line"),
         F.array_sort(F.collect_list(F.struct("line", "value"))).alias("_parts"),
     ).select(
-        "hospital", "file", "line",
-        F.array_join(F.col("_parts.value"), "\n").alias("value"),
+        "hospital", "file", "line", F.array_join(F.col("_parts.value"), "\n").alias("value")
     )
-    return single.select("hospital", "file", "line", "value").unionByName(joined)
 
 
-def oversized_records(marked: DataFrame, columns: int) -> DataFrame:
+def assemble_records(marked: DataFrame) -> DataFrame:
+    """All records of lines that carry ``value`` and ``line``; blank lines are none."""
+    single = marked.where(F.col("starts") & ~F.col("ends_open") & (F.col("value") != ""))
+    return single.select("hospital", "file", "line", "value").unionByName(
+        join_records(spanning_lines(marked))
+    )
+
+
+def oversized_records(spanning: DataFrame, columns: int) -> DataFrame:
     """Line-spanning records longer than any record with fields within the limit.
 
     The sizes are summed before the shuffle, so an unclosed quote that swallows the rest
@@ -340,8 +350,13 @@ def oversized_records(marked: DataFrame, columns: int) -> DataFrame:
     """
     longest = columns * (2 * FIELD_LIMIT + 3)
     return (
-        marked.where(~F.col("starts") | F.col("ends_open"))
-        .groupBy("hospital", "file", "record")
+        spanning.groupBy("hospital", "file", "record")
         .agg(F.sum(F.length("value") + 1).alias("size"))
         .where(F.col("size") > longest)
     )
+
+
+def too_wide(record: Column) -> Column:
+    """Has a field beyond the limit that holds once records span lines."""
+    longest = F.array_max(F.transform(raw_fields(record), lambda f: F.length(unquote(f))))
+    return F.when(F.length(record) > FIELD_LIMIT, longest > FIELD_LIMIT).otherwise(F.lit(False))

@@ -7,28 +7,42 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from batchgate.operators.contract import DEFAULT, Contract
 from batchgate.sources import files
 from batchgate.sources.landing import (
-    assemble_records, control_path, data_path, number_lines, quote_states, raw_fields,
-    read_lines, unquote,
+    assemble_records, control_path, data_path, list_delivery, number_lines, opens, quote_states,
+    raw_fields, read_lines, stays_open, unquote,
 )
 from batchgate.sources.synthetic import write_site
-from batchgate.session import scratch_folder
+from batchgate.session import scratch_folder, sized_for
+
+
+def _records(spark: SparkSession, folder: str, site: str, scratch: str) -> DataFrame:
+    """All records of one site's raw files but their first lines: ``value``."""
+    path = data_path(folder, site)
+    value = F.col("value")
+    lines = read_lines(spark, [path])
+    keys = ["hospital", "file", "block"]
+    splits = lines.groupBy(*keys).agg(
+        F.min("mid").alias("mid"), F.bool_or(opens(value)).alias("opens"))
+    splits.write.parquet(f"{scratch}/splits_{site}")
+    splits = spark.read.parquet(f"{scratch}/splits_{site}")
+    if splits.where("opens").isEmpty():
+        # One short row per file; splits are cut alike in both scans.
+        first = splits.groupBy("hospital", "file").agg(F.min_by("mid", "block").alias("mid"))
+        return lines.where(value != "").join(first, ["hospital", "file", "mid"], "left_anti")
+    lines.write.parquet(f"{scratch}/lines_{site}")
+    numbered = number_lines(spark.read.parquet(f"{scratch}/lines_{site}"))
+    flagged = numbered.withColumns({"opens": opens(value), "stays": stays_open(value)})
+    return assemble_records(quote_states(flagged)).where("line > 1")
 
 
 def read_raw(spark: SparkSession, folder: str, site: str, contract: Contract,
              scratch: str) -> DataFrame:
-    """All records of one raw file as text; the first record with another field count fails."""
-    read_lines(spark, [data_path(folder, site)]).write.parquet(f"{scratch}/{site}")
-    lines = spark.read.parquet(f"{scratch}/{site}")
-    if lines.where(F.col("value").contains('"')).isEmpty():
-        records = number_lines(lines).where(F.col("value") != "")
-    else:
-        records = assemble_records(quote_states(number_lines(lines)))
+    """All records of one site as text; the first record with another field count fails."""
     width = len(contract.columns)
     fields = F.when(F.size("_f") == width, F.col("_f")).otherwise(
         F.raise_error(F.lit("invalid record")).cast("array<string>")
     )
     return (
-        records.where(F.col("line") > 1)
+        _records(spark, folder, site, scratch)
         .withColumn("_f", raw_fields(F.col("value")))
         .withColumn("_f", fields)
         .select(*[unquote(F.get("_f", F.lit(i))).alias(c) for i, c in enumerate(contract.columns)])
@@ -38,9 +52,12 @@ def read_raw(spark: SparkSession, folder: str, site: str, contract: Contract,
 def land(spark: SparkSession, raw: str, landing: str, contract: Contract = DEFAULT) -> None:
     """Land every site from ``raw`` to ``landing``; the control files travel along."""
     scratch = scratch_folder(spark)
+    delivered = list_delivery(spark, raw, contract.sites)
     try:
+        with sized_for(spark, sum(f.size for d in delivered for f in d.data)):
+            for site in contract.sites:
+                write_site(spark, read_raw(spark, raw, site, contract, scratch), landing, site)
         for site in contract.sites:
-            write_site(spark, read_raw(spark, raw, site, contract, scratch), landing, site)
             control = files.read_head(spark, control_path(raw, site), 4096).decode("ascii")
             files.delete_tree(spark, control_path(landing, site))
             files.write_new(spark, control_path(landing, site), control)

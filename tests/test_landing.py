@@ -37,7 +37,9 @@ def spark_records(spark, path, scratch):
     """The same through the assembling reader; inner line ends come back as LF."""
     landing.read_lines(spark, [str(path)]).write.parquet(f"{scratch}/lines")
     numbered = landing.number_lines(spark.read.parquet(f"{scratch}/lines"))
-    landing.quote_states(numbered).write.parquet(f"{scratch}/marked")
+    value = F.col("value")
+    flagged = numbered.withColumns({"opens": landing.opens(value), "stays": landing.stays_open(value)})
+    landing.quote_states(flagged).write.parquet(f"{scratch}/marked")
     records = landing.assemble_records(spark.read.parquet(f"{scratch}/marked"))
     rows = records.where("line > 1").withColumn("raw", landing.raw_fields(F.col("value"))).select(
         "line", F.transform("raw", landing.unquote).alias("fields")).orderBy("line").collect()

@@ -13,21 +13,16 @@ _STEP = 3
 
 
 def row_text(columns: Sequence[str]) -> Column:
-    """Unambiguous text of a row: values joined by ``|``, escaped, null as ``\\N``.
+    """Unambiguous text of a row: every value behind its length in bytes, ``-`` for null.
 
     Cast doubles to decimals first; their text form is not portable.
     """
-    parts = [
-        F.coalesce(
-            F.replace(
-                F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")),
-                F.lit("|"), F.lit("\\|"),
-            ),
-            F.lit("\\N"),
-        )
-        for c in columns
-    ]
-    return F.concat_ws("|", *parts)
+
+    def part(name: str) -> Column:
+        text = F.col(name).cast("string")
+        return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.concat_ws("|", *[part(c) for c in columns])
 
 
 def row_hash(columns: Sequence[str]) -> Column:

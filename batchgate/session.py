@@ -32,35 +32,47 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     return builder.getOrCreate()
 
 
-# One reduce task per this many delivered bytes, up to a number that keeps the shuffle's
-# block count (map tasks times reduce tasks) in hand; larger tasks spill to disk.
-_BYTES_PER_TASK = 256 << 20
-_MAX_TASKS = 50_000
+# A shuffle costs map tasks times reduce tasks; both grow with the volume up to a number
+# that keeps this product and the driver's map statuses in hand.  Beyond it tasks get
+# larger and spill.
+_BYTES_PER_REDUCER = 256 << 20
+_MAX_REDUCERS = 40_000
+_MAX_SPLITS = 100_000
 
 
 @contextmanager
-def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Shuffles start with enough partitions for the volume; AQE merges what is too small.
-
-    Also pins how files are cut into splits, which would otherwise follow the number of
-    executors of the moment, so that two scans of one batch see the same splits.
-    """
-    conf = spark.conf
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    floor = "spark.sql.files.minPartitionNum"
-    tasks = max(int(conf.get("spark.sql.shuffle.partitions")),
-                min(_MAX_TASKS, input_bytes // _BYTES_PER_TASK))
-    settings = {initial: str(tasks)}
-    if conf.get(floor, None) is None:
-        settings[floor] = str(spark.sparkContext.defaultParallelism)
-    before = {name: conf.get(name, None) for name in settings}
-    for name, value in settings.items():
-        conf.set(name, value)
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
         for name, value in before.items():
-            conf.unset(name) if value is None else conf.set(name, value)
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def steady_splits(spark: SparkSession, input_bytes: int):
+    """Within it, two scans of one delivery cut its files into the same splits.
+
+    Spark sizes splits by the cores of the moment; here that number is fixed at the start.
+    """
+    largest, cores = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    split = max(to_bytes(spark.conf.get(largest)), input_bytes // _MAX_SPLITS)
+    number = spark.conf.get(cores, None) or str(spark.sparkContext.defaultParallelism)
+    return _settings(spark, {largest: f"{split}b", cores: number})
+
+
+def wide_shuffles(spark: SparkSession, input_bytes: int):
+    """Within it, shuffles start with partitions for the volume; AQE merges small ones.
+
+    Only for shuffles of whole rows or keys: small aggregations need no such width.
+    """
+    reducers = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                   min(_MAX_REDUCERS, input_bytes // _BYTES_PER_REDUCER))
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    return _settings(spark, {initial: str(reducers)})
 
 
 def scratch_folder(spark: SparkSession) -> str:

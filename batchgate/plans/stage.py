@@ -80,10 +80,11 @@ def find_spanning(staged: DataFrame, sites: Sequence[str], offsets: DataFrame) -
 
 
 def stage_spanning(spark: SparkSession, paths: Sequence[str], spanning: DataFrame, day: date,
-                   key: bytes, contract: Contract, scratch: str) -> DataFrame:
+                   key: bytes, contract: Contract, scratch: str) -> tuple[DataFrame, set[str]]:
     """Line-spanning records put together and typed, from a second look at their lines.
 
     Splits are cut as in the first scan, and every line must hash to what that scan saw.
+    Also names the sites with a record too long to be one; theirs are left apart.
     """
     value = F.col("value")
     same = landing.line_hash(value) == F.col("line_hash")
@@ -93,8 +94,10 @@ def stage_spanning(spark: SparkSession, paths: Sequence[str], spanning: DataFram
     text = spark.read.parquet(f"{scratch}/text")
     if text.count() != spanning.count():
         raise BatchError("INTERNAL_ERROR")
-    if not landing.oversized_records(text, len(contract.columns)).isEmpty():
-        raise BatchError("INTERNAL_ERROR")
+    too_long = landing.oversized_records(text, len(contract.columns))
+    refused = {r["hospital"] for r in too_long.select("hospital").distinct().collect()}
+    if refused:
+        text = text.where(~F.col("hospital").isin(*refused))
     kind: Column = (
         F.when(~F.is_valid_utf8(value), "undecodable")
         .when(landing.too_wide(value), "oversized").otherwise("row")
@@ -102,7 +105,7 @@ def stage_spanning(spark: SparkSession, paths: Sequence[str], spanning: DataFram
     records = landing.join_records(text).withColumn("kind", kind)
     typed = typed_rows(records, day, key, contract, ("file", "line", "kind"))
     pack_tokens(typed, _token_columns(contract)).write.parquet(f"{scratch}/records")
-    return spark.read.parquet(f"{scratch}/records")
+    return spark.read.parquet(f"{scratch}/records"), refused
 
 
 def stage(spark: SparkSession, deliveries: Sequence[Delivery], folder: str, day: date, key: bytes,
@@ -142,7 +145,8 @@ def stage(spark: SparkSession, deliveries: Sequence[Delivery], folder: str, day:
     if slow:
         find_spanning(staged, sorted(slow), blocks).write.parquet(f"{scratch}/spanning")
         spanning = spark.read.parquet(f"{scratch}/spanning")
-        records = stage_spanning(spark, paths, spanning, day, key, contract, scratch)
+        records, refused = stage_spanning(spark, paths, spanning, day, key, contract, scratch)
+        result.unreadable |= refused
         single = staged.join(spanning, list(landing.LINE_KEY), "left_anti")
         counts = single.groupBy("hospital", *outcome).agg(
             F.count(F.lit(1)).alias("lines"), F.bool_or("wide").alias("wide")).collect()

@@ -31,7 +31,7 @@ from batchgate.plans.batch import entity_rows, run_batch
 from batchgate.plans.stage import stage, typed_rows
 from batchgate.plans.tables import TABLES
 from batchgate.session import scratch_folder
-from batchgate.sources import landing
+from batchgate.sources import files, landing
 from batchgate.sources.jsonbatch import expand_json, pack_json
 from batchgate.sources.normalise import land
 from batchgate.sources.synthetic import dirty_rows, site_rows
@@ -479,8 +479,8 @@ def delivery_fingerprint(spark, sf_dir):
         landing.input_fingerprint(spark, folder, SITES))
     hashed = _lines(spark, folder).withColumn("line_hash", landing.line_hash(F.col("value")))
     blocks = landing.line_sums(hashed, ("hospital", "file", "block"))
-    files = landing.file_summary(landing.with_offsets(blocks))
-    return files.groupBy("hospital").agg(
+    summaries = landing.file_summary(landing.with_offsets(blocks))
+    return summaries.groupBy("hospital").agg(
         F.sum(F.col("lines") - 1).alias("rows"), F.lit(same).alias("unchanged"))
 
 
@@ -527,8 +527,12 @@ def generated_rows(spark, sf_dir):
 def _publish(spark, sf_dir, rows=None, store=None, **options):
     rows = delivered(spark, sf_dir, one_day=True) if rows is None else rows
     store = store or scratch_folder(spark)
-    report = run_batch(spark, deliver_files(spark, rows), store, BATCH_DAY.isoformat(),
-                       max_reject_ratio=1.0, **options)
+    folder = deliver_files(spark, rows)
+    try:
+        report = run_batch(spark, folder, store, BATCH_DAY.isoformat(), max_reject_ratio=1.0,
+                           **options)
+    finally:
+        files.delete_tree(spark, folder)
     return store, report
 
 

@@ -83,6 +83,15 @@ def site_date(column: Column, site: Column, separators: Mapping[str, str]) -> Co
     return parsed
 
 
+def _batch_date(column: Column, site: Column, separators: Mapping[str, str], day: date) -> Column:
+    """:func:`site_date`, with the usual case first: the text of the batch day itself."""
+    usual = F.lit(False)
+    for name, separator in separators.items():
+        text = f"{day.year:04d}{separator}{day.month:02d}{separator}{day.day:02d}"
+        usual = F.when(site == name, column == text).otherwise(usual)
+    return F.when(usual, F.lit(day)).otherwise(site_date(column, site, separators))
+
+
 def unit_factor(unit: Column, factors: Mapping[str, int]) -> Column:
     chain = F.lit(1)
     for name, factor in factors.items():
@@ -100,8 +109,9 @@ def classify(
     """Strip the contract columns and add ``reason`` (null = accepted) and parsed ``_`` columns.
 
     ``rows`` carries the delivered text columns plus ``hospital``.  An optional
-    ``field_count`` column marks records with too many fields.  A delivery covers one
-    day; ``last_day`` widens that to a window.
+    ``field_count`` column marks records with too many fields, an optional ``plain`` column
+    rows without any blank to strip.  A delivery covers one day; ``last_day`` widens that to
+    a window.
     """
     last_day = last_day or first_day
     site = F.col("hospital")
@@ -110,11 +120,15 @@ def classify(
         lambda a, b: a | b,
         [F.col(c).isNull() | (F.col(c) == "") for c in contract.columns],
     )
-    stripped = rows.withColumns({c: strip(F.col(c)) for c in contract.columns})
+    plain = F.col("plain") if "plain" in rows.columns else F.lit(False)
+    stripped = rows.withColumns({
+        c: F.when(plain, F.col(c)).otherwise(strip(F.col(c))) for c in contract.columns
+    })
 
     year_text = ascii_digits(F.col(contract.year_column))
     parsed = {
-        f"_{c}": site_date(F.col(c), site, contract.date_separators) for c in contract.dates
+        f"_{c}": _batch_date(F.col(c), site, contract.date_separators, first_day)
+        for c in contract.dates
     }
     parsed[f"_{contract.year_column}"] = F.when(
         full_match(year_text, "[0-9]{4}"), year_text.try_cast("int")

@@ -63,18 +63,24 @@ def stage_lines(spark: SparkSession, paths: Sequence[str], day: date, key: bytes
     value = F.col("value")
     lines = landing.read_lines(spark, paths).withColumns({
         "line_hash": landing.line_hash(value), "kind": landing.line_kind(value),
-        "stays": landing.stays_open(value), "wide": landing.too_wide(value),
+        "stays": landing.stays_open(value), "long": landing.is_long(value),
     })
-    keep = (*landing.LINE_KEY[1:], "line_hash", "kind", "stays", "wide")
+    keep = (*landing.LINE_KEY[1:], "line_hash", "kind", "stays", "long")
     return pack_tokens(typed_rows(lines, day, key, contract, keep), _token_columns(contract))
 
 
 def find_spanning(staged: DataFrame, sites: Sequence[str], offsets: DataFrame) -> DataFrame:
     """Locators of all lines that belong to line-spanning records: ``LINE_KEY``, ``record``,
-    ``line``, ``line_hash``.  Works on the narrow flags of the staged lines."""
+    ``line``, ``line_hash``.  Works on the narrow flags of the staged lines.
+
+    Long lines come along as records of one line, because a field limit holds for files
+    with such records.
+    """
     lines = staged.where(F.col("hospital").isin(*sites)).select(
-        *landing.LINE_KEY, "line_hash", (F.col("kind") == "open").alias("opens"), "stays")
-    spanning = landing.spanning_lines(landing.quote_states(lines))
+        *landing.LINE_KEY, "line_hash", (F.col("kind") == "open").alias("opens"), "stays", "long")
+    marked = landing.quote_states(lines)
+    spanning = landing.spanning_lines(marked).unionByName(
+        marked.where(F.col("starts") & ~F.col("ends_open") & F.col("long")))
     return landing.locate(spanning, offsets).select(
         *landing.LINE_KEY, "record", "line", "line_hash")
 
@@ -116,7 +122,8 @@ def stage(spark: SparkSession, deliveries: Sequence[Delivery], folder: str, day:
     """
     sites = [d.site for d in deliveries]
     paths = [landing.data_path(folder, s) for s in sites]
-    stage_lines(spark, paths, day, key, contract).write.parquet(f"{scratch}/stage")
+    stage_lines(spark, paths, day, key, contract).write.option(
+        "compression", "lz4").parquet(f"{scratch}/stage")
     staged = spark.read.parquet(f"{scratch}/stage")
 
     outcome = ["kind", "is_header", "reason"]
@@ -149,8 +156,7 @@ def stage(spark: SparkSession, deliveries: Sequence[Delivery], folder: str, day:
         result.unreadable |= refused
         single = staged.join(spanning, list(landing.LINE_KEY), "left_anti")
         counts = single.groupBy("hospital", *outcome).agg(
-            F.count(F.lit(1)).alias("lines"), F.bool_or("wide").alias("wide")).collect()
-        result.unreadable |= {r["hospital"] for r in counts if r["wide"]} & slow
+            F.count(F.lit(1)).alias("lines")).collect()
         for row in records.groupBy("hospital", "kind", "reason").agg(
                 F.count(F.lit(1)).alias("lines")).collect():
             if row["kind"] != "row":

@@ -17,6 +17,11 @@ SETTINGS = {
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
+# The JVM compiles no method above 8000 bytes of bytecode.  The row contract fused into one
+# generated method is larger and would run interpreted, three times slower; with this limit
+# Spark generates smaller pieces instead.
+COMPILED_METHODS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """Session for tests and the local benchmark; clusters bring their own."""
@@ -27,7 +32,7 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
-    for name, value in SETTINGS.items():
+    for name, value in (SETTINGS | COMPILED_METHODS).items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
@@ -52,16 +57,17 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def steady_splits(spark: SparkSession, input_bytes: int):
-    """Within it, two scans of one delivery cut its files into the same splits.
+def batch_settings(spark: SparkSession, input_bytes: int):
+    """Settings for one delivery, put back afterwards.
 
-    Spark sizes splits by the cores of the moment; here that number is fixed at the start.
+    Two scans must cut its files into the same splits: Spark sizes them by the cores of the
+    moment, so that number is fixed at the start.  Generated code is kept compilable.
     """
     largest, cores = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
     to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     split = max(to_bytes(spark.conf.get(largest)), input_bytes // _MAX_SPLITS)
     number = spark.conf.get(cores, None) or str(spark.sparkContext.defaultParallelism)
-    return _settings(spark, {largest: f"{split}b", cores: number})
+    return _settings(spark, COMPILED_METHODS | {largest: f"{split}b", cores: number})
 
 
 def wide_shuffles(spark: SparkSession, input_bytes: int):

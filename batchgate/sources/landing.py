@@ -27,7 +27,7 @@ _FIELD = rf'(?:"{_QUOTED}"[^,]*+|(?!")[^,]*+)'
 # Does a line that starts outside (inside) a quoted field end inside one?
 _OPENS = rf'\A(?:{_FIELD},)*+"{_QUOTED}\z'
 _STAYS_OPEN = rf'\A{_QUOTED}(?:\z|"[^,]*+(?:,{_FIELD})*+,"{_QUOTED}\z)'
-_TOKEN = rf',(?:"{_QUOTED}(?:"[^,]*+|\z)|(?!")[^,]*+)'
+_TOKEN = rf',("{_QUOTED}(?:"[^,]*+|\z)|(?!")[^,]*+)'
 
 # Fixed value: longest field a record that spans lines may have, in characters.
 FIELD_LIMIT = 131072
@@ -78,10 +78,11 @@ def has_header(spark: SparkSession, delivery: Delivery, columns: Sequence[str])
 
 def read_lines(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """All physical lines: ``hospital, file, block, mid, value``."""
-    path = F.col("_metadata.file_path")
+    # What follows "hospital_" is "<site>.csv", or "<site>.csv/<part file>".
+    tail = F.substring_index(F.col("_metadata.file_path"), "/hospital_", -1)
     return spark.read.text(list(paths)).select(
-        F.regexp_extract(path, r"hospital_([^/.]+)\.csv", 1).alias("hospital"),
-        F.regexp_extract(path, r"(hospital_[^/.]+\.csv[^?]*)\z", 1).alias("file"),
+        F.substring_index(tail, ".csv", 1).alias("hospital"),
+        F.concat(F.lit("hospital_"), tail).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("mid"),
         "value",
@@ -90,10 +91,8 @@ def read_lines(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
 
 def raw_fields(record: Column) -> Column:
     """Array of the CSV fields of one record, quotes still in place."""
-    tokens = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_TOKEN), F.lit(0))
-    return F.when(
-        record.contains('"'), F.transform(tokens, lambda t: F.substring(t, F.lit(2), F.length(t)))
-    ).otherwise(F.split(record, ",", -1))
+    tokens = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_TOKEN), F.lit(1))
+    return F.when(record.contains('"'), tokens).otherwise(F.split(record, ",", -1))
 
 
 def unquote(raw: Column) -> Column:
@@ -116,10 +115,15 @@ def line_kind(line: Column) -> Column:
 
 
 def with_fields(records: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Split ``value`` into the expected text columns, ``field_count`` and ``is_header``."""
-    split = records.withColumn("_raw", raw_fields(F.col("value")))
+    """Split ``value`` into the expected text columns, ``field_count`` and ``is_header``.
+
+    ``plain`` marks records of visible ASCII only, whose fields need no stripping.
+    """
+    split = records.withColumns({
+        "_raw": raw_fields(F.col("value")), "plain": F.col("value").rlike(r"\A[!-~]*+\z"),
+    })
     texts = split.select(
-        *keep, F.size("_raw").alias("field_count"),
+        *keep, "plain", F.size("_raw").alias("field_count"),
         *[unquote(F.get("_raw", F.lit(i))).alias(c) for i, c in enumerate(columns)],
     )
     header = F.col("field_count") == len(columns)
@@ -321,6 +325,11 @@ def spanning_lines(marked: DataFrame) -> DataFrame:
     return marked.where(~F.col("starts") | F.col("ends_open"))
 
 
+def is_long(line: Column) -> Column:
+    """Long enough to hold a field beyond the limit."""
+    return F.octet_length(line) > FIELD_LIMIT
+
+
 def join_records(spanning: DataFrame) -> DataFrame:
     """One row per line-spanning record: ``hospital, file, line`` (its last) and ``value``.
 
@@ -359,4 +368,4 @@ def oversized_records(spanning: DataFrame, columns: int) -> DataFrame:
 def too_wide(record: Column) -> Column:
     """Has a field beyond the limit that holds once records span lines."""
     longest = F.array_max(F.transform(raw_fields(record), lambda f: F.length(unquote(f))))
-    return F.when(F.length(record) > FIELD_LIMIT, longest > FIELD_LIMIT).otherwise(F.lit(False))
+    return F.when(is_long(record), longest > FIELD_LIMIT).otherwise(F.lit(False))

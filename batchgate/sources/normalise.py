@@ -11,7 +11,7 @@ from batchgate.sources.landing import (
     raw_fields, read_lines, stays_open, unquote,
 )
 from batchgate.sources.synthetic import write_site
-from batchgate.session import scratch_folder, steady_splits
+from batchgate.session import batch_settings, scratch_folder
 
 
 def _records(spark: SparkSession, folder: str, site: str, scratch: str) -> DataFrame:
@@ -54,7 +54,7 @@ def land(spark: SparkSession, raw: str, landing: str, contract: Contract = DEFAU
     scratch = scratch_folder(spark)
     delivered = list_delivery(spark, raw, contract.sites)
     try:
-        with steady_splits(spark, sum(f.size for d in delivered for f in d.data)):
+        with batch_settings(spark, sum(f.size for d in delivered for f in d.data)):
             for site in contract.sites:
                 write_site(spark, read_raw(spark, raw, site, contract, scratch), landing, site)
         for site in contract.sites:

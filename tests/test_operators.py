@@ -21,7 +21,7 @@ from batchgate.operators import gates
 from batchgate.operators.compare import snapshot_diff
 from batchgate.operators.digest import row_hash, table_digest, tree_depth, tree_digest
 from batchgate.plans.store import latest_runs
-from batchgate.session import steady_splits, wide_shuffles
+from batchgate.session import batch_settings, wide_shuffles
 from batchgate.sources.jsonbatch import expand_json, pack_json
 
 _SLOW = settings(max_examples=12, deadline=None,
@@ -175,11 +175,11 @@ def test_session_settings_follow_the_volume(spark):
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     split, cores = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
     before = [spark.conf.get(n, None) for n in (initial, split, cores)]
-    with steady_splits(spark, 100 << 40), wide_shuffles(spark, 100 << 40):
+    with batch_settings(spark, 100 << 40), wide_shuffles(spark, 100 << 40):
         assert spark.conf.get(initial) == "40000"
         assert int(spark.conf.get(split)[:-1]) == (100 << 40) // 100000
         assert spark.conf.get(cores) == str(spark.sparkContext.defaultParallelism)
-    with steady_splits(spark, 1 << 20), wide_shuffles(spark, 10 << 30):
+    with batch_settings(spark, 1 << 20), wide_shuffles(spark, 10 << 30):
         assert spark.conf.get(initial) == "40"
         assert spark.conf.get(split) == f"{128 << 20}b"
     assert [spark.conf.get(n, None) for n in (initial, split, cores)] == before

@@ -1,4 +1,31 @@
-"""The corpus pipeline; its stages follow as their operators land."""
+"""The corpus pipeline: documents in, packed training sequences out.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns
+of ``documents``.  A stage's result is written as Parquet and read again as the next one's docs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from batchgate.llm.common import staged, table
+from batchgate.llm.packing import op1_best_fit_packing
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents as pieces of packed sequences."""
+    return op1_best_fit_packing(docs)
+
+
+STAGES = [("best-fit packing", best_fit_packing)]
+
+# No stage list that SQL can express: tests hold each stage against a brute-force version.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        docs = out if k == len(STAGES) - 1 else staged(out)
+    return docs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from batchgate.llm import chat, decontamination, packing, sharding
+from batchgate.llm import chat, decontamination, ngram_join, packing, sharding
 from batchgate.llm.common import table
 
 
@@ -30,9 +30,14 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.op9_ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_best_fit_packing, op3_chat_formatting, op6_sharding,
-                            op7_benchmark_decontamination)
+    f.__name__: f for f in (
+        op1_best_fit_packing, op3_chat_formatting, op6_sharding, op7_benchmark_decontamination,
+        op9_ngram_jaccard_join)
 }
 
 _ITEM_WORDS = """

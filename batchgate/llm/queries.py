@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from batchgate.llm import chat, decontamination, ngram_join, packing, sharding
+from batchgate.llm import (chat, decontamination, neighbours, ngram_join, packing, sharding,
+                           url_filter)
 from batchgate.llm.common import table
 
 
@@ -21,6 +22,10 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op3_chat_formatting(source.unionByName(more))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.op4_url_filters(table(spark, sf_dir, "pages"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op6_sharding(table(spark, sf_dir, "documents"))
 
@@ -34,10 +39,14 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.op9_ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.op10_nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f for f in (
-        op1_best_fit_packing, op3_chat_formatting, op6_sharding, op7_benchmark_decontamination,
-        op9_ngram_jaccard_join)
+        op1_best_fit_packing, op3_chat_formatting, op4_url_filters, op6_sharding,
+        op7_benchmark_decontamination, op9_ngram_jaccard_join, op10_nearest_neighbours)
 }
 
 _ITEM_WORDS = """

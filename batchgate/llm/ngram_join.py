@@ -414,14 +414,19 @@ def jaccard_links(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT,
 
     owners = documents.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"))
-    wanted = owners.join(shared.select("class").distinct(), "class", "left_semi")
-    sets = staged(class_sets(rows, wanted, n))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Only the sets of classes in these pairs are built."""
+        classes = pairs.select(F.col("a").alias("class")).unionByName(
+            pairs.select(F.col("b").alias("class"))).distinct()
+        wanted = owners.join(classes, "class", "left_semi")
+        return verified(pairs, staged(class_sets(rows, wanted, n)), percent)
 
     ordered = [F.least("class", "star").alias("a"), F.greatest("class", "star").alias("b")]
     stars = staged(shared.where((F.col("class") != F.col("star")) & _passes(
         F.col("n"), F.col("place"), F.col("star_n"), F.col("star_place"), percent))
         .select(*ordered).distinct())
-    near = verified(stars, sets, percent)
+    near = linked(stars)
 
     roots = components(near)
     entries = staged(shared.select("token", "class", "n", "place").join(
@@ -439,7 +444,7 @@ def jaccard_links(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT,
     rest = met.select(F.least("x.class", "y.class").alias("a"),
                       F.greatest("x.class", "y.class").alias("b")).distinct()
     rest = staged(rest.join(stars, ["a", "b"], "left_anti"))
-    return documents, near.unionByName(verified(rest, sets, percent))
+    return documents, near.unionByName(linked(rest))
 
 
 def near_duplicate_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT,

@@ -11,6 +11,8 @@ from batchgate.session import scratch_folder
 
 # A rough bound of the text that one task holds at a time, whatever the Arrow batch size.
 CHUNK_BYTES = 8 << 20
+# Rows of a batch between Spark and Python, in queries over long texts.
+ARROW_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

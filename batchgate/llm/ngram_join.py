@@ -51,7 +51,7 @@ COUNTER_BITS = (14, 24)
 # Prefix n-grams that meet in one group of a bucket, on average; above it one n-gram is divided.
 GROUP_TOKENS = 500_000
 # Prefix n-grams that a task holds before it sends them off.
-FLUSH_TOKENS = 1_000_000
+FLUSH_TOKENS = 250_000
 RANGES = 64
 BITMAP_BITS = 1 << 26
 
@@ -90,7 +90,7 @@ def ngram_sets(texts: list[str | None], n: int = NGRAM) -> list[np.ndarray]:
     length = behind - first
     letters = _LOWER[raw[~space]]
     begin = np.cumsum(length) - length
-    place = np.arange(len(letters)) - np.repeat(begin, length)
+    place = (np.arange(len(letters)) - np.repeat(begin, length)).astype(np.int32)
     weight = _PLACE
     if length.max() > len(weight):
         weight = mixed(np.arange(1, int(length.max()) + 1, dtype=np.uint64))
@@ -124,11 +124,8 @@ def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def small_chunks(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of about 2 MB, as n-gram arrays are several times as large as the text."""
-    for chunk in text_chunks(whole, "text"):
-        rows = max(1, chunk.num_rows // 4)
-        for at in range(0, chunk.num_rows, rows):
-            yield chunk.slice(at, rows)
+    """Slices of about 1 MB, as n-gram arrays are several times as large as the text."""
+    return text_chunks(whole, "text", 1 << 20)
 
 
 def _prefix(n: int, percent: int) -> int:

@@ -114,12 +114,13 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def text_chunks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about CHUNK_BYTES of text each, one row at least."""
+def text_chunks(batch: pa.RecordBatch, column: str,
+                chunk_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``chunk_bytes`` of text each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     if not len(sizes):
         return
-    group = (np.cumsum(sizes, dtype=np.int64) - sizes) // CHUNK_BYTES
+    group = (np.cumsum(sizes, dtype=np.int64) - sizes) // chunk_bytes
     edges = np.flatnonzero(np.diff(group, prepend=-1)).tolist() + [len(sizes)]
     for a, b in zip(edges, edges[1:]):
         yield batch.slice(a, b - a)

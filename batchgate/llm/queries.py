@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from batchgate.llm import (chat, decontamination, neighbours, ngram_join, packing, sharding,
                            url_filter)
-from batchgate.llm.common import table
+from batchgate.llm.common import ARROW_ROWS
+from batchgate.llm.common import table as read
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Rows with long texts travel to Python in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return read(spark, sf_dir, name)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from batchgate.llm import (chat, decontamination, neighbours, ngram_join, packing, sharding,
-                           url_filter)
+from batchgate.llm import (chat, decontamination, html_text, neighbours, ngram_join, packing,
+                           sharding, url_filter)
 from batchgate.llm.common import ARROW_ROWS
 from batchgate.llm.common import table as read
 
@@ -20,6 +20,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op1_best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.op2_html_extraction(table(spark, sf_dir, "pages"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are made of control strings."""
     source = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -52,8 +56,9 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op1_best_fit_packing, op3_chat_formatting, op4_url_filters, op6_sharding,
-        op7_benchmark_decontamination, op9_ngram_jaccard_join, op10_nearest_neighbours)
+        op1_best_fit_packing, op2_html_extraction, op3_chat_formatting, op4_url_filters,
+        op6_sharding, op7_benchmark_decontamination, op9_ngram_jaccard_join,
+        op10_nearest_neighbours)
 }
 
 _ITEM_WORDS = """

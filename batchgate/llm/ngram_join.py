@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from batchgate.llm.common import quoted, staged
 from batchgate.llm.components import components
+from batchgate.llm.membership import bit_array, may_hold, spot
 from batchgate.llm.packing import text_chunks
 
 NGRAM = 5
@@ -53,7 +54,6 @@ GROUP_TOKENS = 500_000
 # Prefix n-grams that a task holds before it sends them off.
 FLUSH_TOKENS = 250_000
 RANGES = 64
-BITMAP_BITS = 1 << 26
 
 _U = np.uint64
 _WEIGHTS = np.random.default_rng(20240917).integers(1, 1 << 63, 16, dtype=np.uint64) * _U(2) + _U(1)
@@ -313,20 +313,12 @@ def _passes(a_n, a_place, b_n, b_place, percent: int):
 def class_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """class, n, range counts and set of documents with one of the wanted ids (column doc_id),
     and of some others."""
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP_BITS)) + 1
-    bits = np.zeros(BITMAP_BITS // 8, np.uint8)
-    spots = wanted.select(place("doc_id").alias("p")).select(
-        F.bitmap_bucket_number("p").alias("k"), F.bitmap_bit_position("p").alias("bit"))
-    for row in spots.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("m")).toLocalIterator():
-        own = np.frombuffer(row.m, np.uint8)
-        bits[(row.k - 1) * 4096:(row.k - 1) * 4096 + len(own)] = own
-    held = rows.sparkSession.sparkContext.broadcast(bits)
+    held = rows.sparkSession.sparkContext.broadcast(bit_array(wanted, "doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, seen = held.value, set()
         for whole in batches:
-            at = whole.column("p").to_numpy() - 1
-            hit = (bitmap[at // 8] >> (at % 8).astype(np.uint8)) & 1 > 0
+            hit = may_hold(bitmap, whole.column("p").to_numpy())
             chosen = whole.filter(pa.array(hit))
             for batch in small_chunks(chosen) if chosen.num_rows else ():
                 found = []
@@ -343,7 +335,7 @@ def class_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                         [pa.array(c, k) for c, k in zip(zip(*found), kinds)],
                         ["class", "n", "ranges", "grams"])
 
-    keyed = rows.select("doc_id", "text", place("doc_id").alias("p"))
+    keyed = rows.select("doc_id", "text", spot("doc_id").alias("p"))
     return keyed.mapInArrow(run, "class long, n long, ranges binary, grams binary")
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from batchgate.llm import (chat, decontamination, html_text, neighbours, ngram_join, packing,
-                           sharding, url_filter)
+from batchgate.llm import (chat, decontamination, html_text, language, line_dedup, neighbours,
+                           ngram_join, packing, sharding, url_filter)
 from batchgate.llm.common import ARROW_ROWS
 from batchgate.llm.common import table as read
 
@@ -37,6 +37,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.op4_url_filters(table(spark, sf_dir, "pages"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.op5_line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op6_sharding(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,10 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.op8_language_id(table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.op9_ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -57,8 +65,8 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_html_extraction, op3_chat_formatting, op4_url_filters,
-        op6_sharding, op7_benchmark_decontamination, op9_ngram_jaccard_join,
-        op10_nearest_neighbours)
+        op5_line_dedup, op6_sharding, op7_benchmark_decontamination, op8_language_id,
+        op9_ngram_jaccard_join, op10_nearest_neighbours)
 }
 
 _ITEM_WORDS = """

@@ -44,7 +44,7 @@ UNSEEN_TAG = -1.0
 BOILERPLATE_TAG = -4.0
 # Weights without any labelled page.
 _CONTENT_TAGS = ("a abbr b blockquote br cite code dd dl dt em figcaption figure h1 h2 h3 h4 h5 h6 "
-                 "i img li ol p pre q small span strong sub sup table tbody td th thead tr u ul")
+                 "header i img li ol p pre q small span strong sub sup table tbody td th thead tr u ul")
 DEFAULT_WEIGHTS = {"": 1.0} | {
     end + tag: -0.1 for tag in _CONTENT_TAGS.split() for end in ("", "/")}
 

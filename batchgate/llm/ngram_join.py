@@ -12,9 +12,12 @@ comparison; all below is about classes.
    several groups of its bucket.
 3. **First round: stars.**  In each group of an n-gram, every class is paired with the group's
    smallest.  Links found connect large groups of near copies with few pairs.
-4. **Second round: the rest.**  All pairs that share a prefix n-gram and are not connected yet.
-   The members of an n-gram's largest component are not paired with each other, so no group of
-   near copies is expanded.  After it no link between different components is missing.
+4. **Second round: the rest.**  All pairs that share a prefix n-gram and are not connected yet;
+   the members of an n-gram's largest component are not paired with each other.  N-grams with up
+   to PAIRED entries give pairs of rows, linear in the entries.  The classes of more frequent ones
+   meet as blocks of sets: those outside the largest component against all, block against block,
+   and a task gives back no more links than connect what it saw.  So no group of near copies is
+   expanded into pairs, and after this round no link between different components is missing.
 
 Pairs pass a *length* filter, a *positional* filter (what can still be shared behind the n-gram's
 place in both orders) and a *suffix* filter (both sets cut into ranges of hash values, the sum of
@@ -54,6 +57,8 @@ GROUP_TOKENS = 500_000
 # Prefix n-grams that a task holds before it sends them off.
 FLUSH_TOKENS = 250_000
 RANGES = 64
+# Entries of an n-gram that are paired row by row, and sets in a block otherwise.
+PAIRED, BLOCK_SETS = 32, 256
 
 _U = np.uint64
 _WEIGHTS = np.random.default_rng(20240917).integers(1, 1 << 63, 16, dtype=np.uint64) * _U(2) + _U(1)
@@ -376,9 +381,81 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                   .mapInArrow(compare, "a long, b long").distinct())
 
 
+def _common(grams: np.ndarray, tokens: np.ndarray, owners: np.ndarray, many: int) -> np.ndarray:
+    """How many n-grams a set shares with each of many sets, given as sorted tokens and owners."""
+    first, behind = np.searchsorted(tokens, grams), np.searchsorted(tokens, grams, "right")
+    length = behind - first
+    ends = np.cumsum(length)
+    at = np.arange(ends[-1]) + np.repeat(first - (ends - length), length)
+    return np.bincount(owners[at], minlength=many)
+
+
+def block_links(entries: DataFrame, sets: DataFrame, percent: int,
+                block_sets: int = BLOCK_SETS) -> DataFrame:
+    """Links (a, b) between classes of different roots in the same group (column main).
+
+    ``entries`` has main, class and root.  Blocks hold either members of the main component or
+    others; others are compared with all.
+    """
+    inside = F.col("root") == F.col("main")
+    counts = staged(entries.groupBy("main").agg(
+        F.ceil(F.count(F.when(inside, 1)) / block_sets).alias("own"),
+        F.ceil(F.count(F.when(~inside, 1)) / block_sets).alias("others")))
+    part = F.when(inside, -1 - F.pmod(F.xxhash64("class"), F.col("own"))).otherwise(
+        F.pmod(F.xxhash64("class"), F.col("others")))
+    placed = entries.join(counts, "main").select("main", "class", "root", part.alias("part"))
+    blocks = staged(placed.join(sets.select("class", "grams"), "class").groupBy(
+        "main", "part").agg(F.collect_list(F.struct("class", "root", "grams")).alias("sets")))
+    # The numbers of the blocks that meet: others with others once, and with the component's.
+    x = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)).alias("x")
+    numbers = counts.where("others > 0").select("main", "own", "others", x)
+    y = F.explode(F.sequence(-F.col("own"), F.col("others") - 1)).alias("y")
+    meet = numbers.select("main", "x", y).where("y < 0 or y >= x")
+    side = lambda n: blocks.select(
+        "main", F.col("part").alias(n), F.col("sets").alias(f"{n}_sets"))
+    both = meet.join(side("x"), ["main", "x"]).join(side("y"), ["main", "y"])
+
+    def unpack(column):
+        grams = [np.frombuffer(v, "<u8") for v in column.field("grams").to_pylist()]
+        return column.field("class").to_pylist(), column.field("root").to_pylist(), grams
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for left, right in zip(batch.column("x_sets"), batch.column("y_sets")):
+                classes, roots, grams = unpack(left.values)
+                others, other_roots, other_grams = unpack(right.values)
+                sizes = np.array([len(g) for g in other_grams], np.int64)
+                owners = np.repeat(np.arange(len(sizes)), sizes)
+                tokens = np.concatenate(other_grams)
+                order = np.argsort(tokens, kind="stable")
+                tokens, owners = tokens[order], owners[order]
+                joined: dict[int, int] = {}
+
+                def top(node: int) -> int:
+                    while node in joined:
+                        node = joined[node]
+                    return node
+
+                for i, own in enumerate(grams):
+                    shared = _common(own, tokens, owners, len(sizes))
+                    linked = np.flatnonzero(shared >= _needed(len(own), sizes, percent))
+                    for k in linked.tolist():
+                        a, b = top(roots[i]), top(other_roots[k])
+                        if a != b:
+                            joined[a] = b
+                            found.append((classes[i], others[k]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return staged(both.select("x_sets", "y_sets").mapInArrow(
+        run, "a long, b long").distinct())
+
+
 def jaccard_links(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT,
                   id_col: str = "doc_id", text_col: str = "text",
-                  group_tokens: int = GROUP_TOKENS) -> tuple[DataFrame, DataFrame]:
+                  group_tokens: int = GROUP_TOKENS,
+                  paired: int = PAIRED) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, n_grams, class) and links (a, b) between classes.
 
     The links connect exactly what all links would connect; links inside a component that the
@@ -404,12 +481,14 @@ def jaccard_links(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT,
     owners = documents.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"))
 
+    def sets_of(classes: DataFrame) -> DataFrame:
+        """Only the sets that are asked for are built."""
+        return staged(class_sets(rows, owners.join(classes, "class", "left_semi"), n))
+
     def linked(pairs: DataFrame) -> DataFrame:
-        """Only the sets of classes in these pairs are built."""
         classes = pairs.select(F.col("a").alias("class")).unionByName(
             pairs.select(F.col("b").alias("class"))).distinct()
-        wanted = owners.join(classes, "class", "left_semi")
-        return verified(pairs, staged(class_sets(rows, wanted, n)), percent)
+        return verified(pairs, sets_of(classes), percent)
 
     ordered = [F.least("class", "star").alias("a"), F.greatest("class", "star").alias("b")]
     stars = staged(shared.where((F.col("class") != F.col("star")) & _passes(
@@ -423,24 +502,31 @@ def jaccard_links(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT,
         "root", F.coalesce("root", "class")))
     per_root = entries.groupBy("token", "root").agg(F.count("*").alias("c"))
     main = per_root.groupBy("token").agg(
-        F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")
-    ).where("roots > 1").select("token", "main")
+        F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"),
+        F.sum("c").alias("entries")).where("roots > 1").select("token", "main", "entries")
     open_entries = staged(entries.join(main, "token"))
-    x, y = open_entries.where("root <> main").alias("x"), open_entries.alias("y")
+
+    few = open_entries.where(F.col("entries") <= paired)
+    x, y = few.where("root <> main").alias("x"), few.alias("y")
     met = x.join(y, F.col("x.token") == F.col("y.token")).where(
         (F.col("x.root") != F.col("y.root")) & _passes(
             F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place"), percent))
     rest = met.select(F.least("x.class", "y.class").alias("a"),
                       F.greatest("x.class", "y.class").alias("b")).distinct()
     rest = staged(rest.join(stars, ["a", "b"], "left_anti"))
-    return documents, near.unionByName(linked(rest))
+
+    many = staged(open_entries.where(F.col("entries") > paired).select(
+        "main", "class", "root").distinct())
+    crowded = block_links(many, sets_of(many.select("class").distinct()), percent)
+    return documents, near.unionByName(linked(rest)).unionByName(crowded)
 
 
 def near_duplicate_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT,
                           id_col: str = "doc_id", text_col: str = "text",
-                          group_tokens: int = GROUP_TOKENS) -> DataFrame:
+                          group_tokens: int = GROUP_TOKENS, paired: int = PAIRED) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that links lead to."""
-    documents, links = jaccard_links(docs, n, percent, id_col, text_col, group_tokens)
+    documents, links = jaccard_links(
+        docs, n, percent, id_col, text_col, group_tokens, paired)
     roots = components(links)
     placed = staged(documents.join(
         roots.withColumnRenamed("node", "class"), "class", "left").select(

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import fresh, quoted
+from batchgate.llm.common import bounded_sample, fresh, quoted
 from batchgate.llm.packing import text_chunks
 
 SAMPLE_PAGES, SAMPLE_CHARS = 512, 65_536
@@ -207,8 +207,7 @@ def labelled_by_markup(pages: DataFrame, html_col: str = "html") -> list[tuple[s
     page = quoted(html_col)
     chosen = pages.select(page.cast("string").alias("html")).where(
         F.contains(F.lower("html"), F.lit("<article")) & (F.length("html") <= SAMPLE_CHARS))
-    rows = chosen.orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES).collect()
-    return [(r.html, None) for r in rows]
+    return [(r.html, None) for r in bounded_sample(chosen, ["html"], SAMPLE_PAGES).collect()]
 
 
 def extract(pages: DataFrame, weights: dict[str, float], html_col: str = "html") -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import quoted, staged
+from batchgate.llm.common import bounded_sample, quoted, staged
 
 SAMPLE_ROWS = 32_768
 SEED_ROWS = 4_096
@@ -140,7 +140,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, probes: int | No
     vec_id and vector, one row per id, and queries are no candidates of their own."""
     spark = vectors.sparkSession
     total = vectors.count()
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
+    sample = bounded_sample(vectors, ["vec_id"], SAMPLE_ROWS).collect()
     schema = "query_id long, rank int, vec_id long, score double"
     if not sample:
         return spark.createDataFrame([], schema)

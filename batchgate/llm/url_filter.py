@@ -25,7 +25,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import fresh, quoted
+from batchgate.llm.common import bounded_sample, fresh, quoted
 
 # Fixed values of the task: (verdict, host, path).
 RULES = (
@@ -121,9 +121,8 @@ class UrlModel:
 
     def __init__(self, labelled: DataFrame, rows: int = TRAIN_ROWS):
         """``labelled`` has columns url and label (0 or 1)."""
-        order = F.xxhash64("url")
-        chosen = [labelled.where(F.col("label") == k).orderBy(order, "url").limit(rows)
-                  .select("url", "label") for k in (0, 1)]
+        chosen = [bounded_sample(labelled.where(F.col("label") == k).select("url", "label"),
+                                 ["url"], rows) for k in (0, 1)]
         # At most 2 * rows short rows, held by the driver so that both uses see the same.
         kept = [(r.url, int(r.label)) for part in chosen for r in part.collect()]
         self.kinds = sorted({k for _, k in kept})

@@ -37,10 +37,14 @@ def same_report(left: dict, right: dict, ignore: Iterable[str] = ("run_id", "eng
 
 
 def raw_bytes_differ(spark: SparkSession, left: str, right: str, sites: list[str]) -> bool:
-    """Do two deliveries differ as files?  Sizes decide first, contents only if needed."""
+    """Do two deliveries differ as files?  Sizes decide first, contents only if needed.
+
+    Lines are compared with what stands before their LF, so line ends count.
+    """
     sizes = lambda found: [[f.size for f in d.data] for d in found]
     one: list[Delivery] = list_delivery(spark, left, sites)
     two: list[Delivery] = list_delivery(spark, right, sites)
     if sizes(one) != sizes(two):
         return True
-    return input_fingerprint(spark, left, sites) != input_fingerprint(spark, right, sites)
+    one_print, two_print = (input_fingerprint(spark, x, sites, "\n") for x in (left, right))
+    return one_print != two_print

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from typing import NamedTuple
 
@@ -38,7 +39,7 @@ def list_data_files(spark: SparkSession, path: str) -> list[FileInfo]:
     if not fs.exists(hadoop_path):
         return []
     found = [
-        FileInfo(s.getPath().toString(), s.getLen(), s.getModificationTime())
+        FileInfo(plain(s.getPath().toString()), s.getLen(), s.getModificationTime())
         for s in fs.listStatus(hadoop_path)
         if s.isFile() and not s.getPath().getName().startswith(("_", "."))
     ]
@@ -54,6 +55,36 @@ def read_head(spark: SparkSession, path: str, limit: int) -> bytes:
         stream.close()
 
 
+def read_all(spark: SparkSession, path: str) -> bytes:
+    """A whole small file: commit records and the like."""
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a file, or a folder of part files, byte for byte; the target is replaced."""
+    delete_tree(spark, target)
+    _fs(spark, target).mkdirs(_path(spark, target).getParent())
+    copied = spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        _fs(spark, source), _path(spark, source), _fs(spark, target), _path(spark, target),
+        False, spark._jsc.hadoopConfiguration())
+    if not copied:
+        raise OSError(f"{source} was not copied")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as the listing spells it, with scheme and without escapes."""
+    return plain(_fs(spark, path).makeQualified(_path(spark, path)).toString())
+
+
+def plain(path: str) -> str:
+    """Local paths have one spelling: ``file:/``."""
+    return re.sub(r"\Afile:/+", "file:/", path)
+
+
 def write_new(spark: SparkSession, path: str, text: str) -> None:
     """Create ``path`` with all of ``text`` or fail; an existing file is never replaced.
 

@@ -39,8 +39,13 @@ class Delivery(NamedTuple):
     """One site's files as listed at one moment."""
 
     site: str
+    root: str
     data: tuple[files.FileInfo, ...]
-    control: files.FileInfo
+    control: tuple[files.FileInfo, ...]
+
+    def name(self, info: files.FileInfo) -> str:
+        """``hospital_<site>.csv``, and the part file's name behind it."""
+        return f"hospital_{self.site}.csv{info.path.removeprefix(self.root)}"
 
 
 def data_path(folder: str, site: str) -> str:
@@ -60,29 +65,47 @@ def list_delivery(spark: SparkSession, folder: str, sites: Sequence[str]) -> lis
         control = files.list_data_files(spark, control_path(folder, site))
         if not control:
             raise BatchError("MISSING_CONTROL_FILE")
-        found.append(Delivery(site, tuple(data), control[0]))
+        root = files.qualified(spark, data_path(folder, site))
+        found.append(Delivery(site, root, tuple(data), tuple(control)))
     return found
 
 
 def has_header(spark: SparkSession, delivery: Delivery, columns: Sequence[str]) -> bool:
-    """Does the delivery start with the header?  Reads 4 KiB of its first file.
+    """Does the delivery start with the header?
 
-    The text readers drop a byte-order mark silently; here it still counts as part of
-    the first column's name.
+    Reads no more of its first file than the longest spelling of the header, every field
+    quoted: a first record that goes on behind it is another one.  The text readers drop a
+    byte-order mark silently; here it still counts as part of the first column's name.
     """
-    head = files.read_head(spark, delivery.data[0].path, 4096)
+    longest = sum(2 * len(c.encode()) + 3 for c in columns) + 8
+    head = files.read_head(spark, delivery.data[0].path, longest)
     text = head.decode("utf-8", errors="replace")
     first = next(csv.reader(io.StringIO(text, newline="")), None)
     return first == list(columns)
 
 
-def read_lines(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """All physical lines: ``hospital, file, block, mid, value``."""
-    # What follows "hospital_" is "<site>.csv", or "<site>.csv/<part file>".
-    tail = F.substring_index(F.col("_metadata.file_path"), "/hospital_", -1)
-    return spark.read.text(list(paths)).select(
-        F.substring_index(tail, ".csv", 1).alias("hospital"),
-        F.concat(F.lit("hospital_"), tail).alias("file"),
+def read_lines(spark: SparkSession, paths: Iterable[str], line_sep: str | None = None) -> DataFrame:
+    """All physical lines: ``hospital, file, block, mid, value``.
+
+    The site is that of the path in ``paths`` a file lies under, whatever the file is called.
+    Without ``line_sep`` lines end as CSV lines do, with LF, CRLF or CR.
+    """
+    paths = list(paths)
+    # The metadata column escapes a path as a URI does.
+    escaped = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    path = F.regexp_replace(F.url_decode(escaped), r"\Afile:/+", "file:/")
+    hospital = file = F.lit(None).cast("string")
+    for given in paths:
+        root = files.qualified(spark, given)
+        name = given.rstrip("/").rsplit("/", 1)[-1]
+        inside = (path == root) | F.startswith(path, F.lit(root + "/"))
+        hospital = F.when(inside, F.lit(
+            name.removeprefix("hospital_").removesuffix(".csv"))).otherwise(hospital)
+        file = F.when(inside, F.concat(F.lit(name), F.substr(
+            path, F.lit(len(root) + 1)))).otherwise(file)
+    reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
+    return reader.text(paths).select(
+        hospital.alias("hospital"), file.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("mid"),
         "value",
@@ -211,17 +234,23 @@ def digest_of_files(
     for delivery in deliveries:
         digest.update(f"{delivery.site}\n{controls[delivery.site]!r}\n".encode())
         for info in delivery.data:
-            name = info.path[info.path.index(f"hospital_{delivery.site}.csv"):]
+            name = delivery.name(info)
             row = by_file.get((delivery.site, name))
+            if row is None and info.size:
+                raise BatchError("SOURCE_CHANGED")  # listed, but not among what was read
             sums = [row[c] for c in ("lines", "s0a", "s0b", "s1a", "s1b")] if row else []
             digest.update(f"{name}\n{info.size}\n{sums}\n".encode())
     return digest.hexdigest()
 
 
-def input_fingerprint(spark: SparkSession, folder: str, sites: Sequence[str]) -> str:
-    """Content fingerprint of a delivery: one scan, one shuffle of a row per split."""
+def input_fingerprint(spark: SparkSession, folder: str, sites: Sequence[str],
+                      line_sep: str | None = None) -> str:
+    """Content fingerprint of a delivery: one scan, one shuffle of a row per split.
+
+    With ``line_sep`` LF it tells apart deliveries that differ in their line ends alone.
+    """
     deliveries = list_delivery(spark, folder, sites)
-    lines = read_lines(spark, [data_path(folder, s) for s in sites])
+    lines = read_lines(spark, [data_path(folder, s) for s in sites], line_sep)
     hashed = lines.withColumn("line_hash", line_hash(F.col("value"))).drop("value")
     summaries = file_summary(
         with_offsets(line_sums(hashed, ("hospital", "file", "block")))
@@ -233,18 +262,31 @@ def input_fingerprint(spark: SparkSession, folder: str, sites: Sequence[str]) ->
 
 
 def read_controls(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Control files: ``hospital, text, control_rows``; null rows = not a number."""
-    name = F.col("_metadata.file_path")
-    digits = F.btrim("value", F.lit(" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"))
-    return spark.read.text(list(paths), wholetext=True).select(
-        F.regexp_extract(name, r"hospital_([^/.]+)\.rows", 1).alias("hospital"),
-        F.col("value").alias("text"),
-        F.when(digits.rlike(r"\A[0-9]+\z"), digits.try_cast("decimal(38,0)")).alias("control_rows"),
-    )
+    """Control files: ``hospital, text, control_rows, digits``; null digits = not a number.
+
+    The parts of a control folder are one text, in the order of their names.  ``control_rows``
+    is null beyond 38 digits, which no count of rows reaches.
+    """
+    path = F.col("_metadata.file_path")
+    parts = spark.read.text(list(paths), wholetext=True).select(
+        F.regexp_extract(path, r"hospital_([^/.]+)\.rows(?:/[^/]*)?\z", 1).alias("hospital"),
+        F.struct(path.alias("path"), "value").alias("part"))
+    whole = parts.groupBy("hospital").agg(
+        F.array_join(F.array_sort(F.collect_list("part")).value, "").alias("text"))
+    digits = F.btrim("text", F.lit(" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"))
+    digits = F.when(digits.rlike(r"\A[0-9]+\z"), F.ltrim(digits, F.lit("0")))
+    return whole.select(
+        "hospital", "text",
+        F.when(digits == "", 0).otherwise(digits.try_cast("decimal(38,0)")).alias("control_rows"),
+        digits.alias("digits"))
+
+
+def control_files(deliveries: Sequence[Delivery]) -> list[str]:
+    return [c.path for d in deliveries for c in d.control]
 
 
 def control_texts(spark: SparkSession, deliveries: Sequence[Delivery]) -> dict[str, str]:
-    rows = read_controls(spark, [d.control.path for d in deliveries]).collect()
+    rows = read_controls(spark, control_files(deliveries)).collect()
     texts = {r["hospital"]: r["text"] for r in rows}
     return {d.site: texts.get(d.site, "") for d in deliveries}
 

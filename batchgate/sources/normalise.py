@@ -58,8 +58,6 @@ def land(spark: SparkSession, raw: str, landing: str, contract: Contract = DEFAU
             for site in contract.sites:
                 write_site(spark, read_raw(spark, raw, site, contract, scratch), landing, site)
         for site in contract.sites:
-            control = files.read_head(spark, control_path(raw, site), 4096).decode("ascii")
-            files.delete_tree(spark, control_path(landing, site))
-            files.write_new(spark, control_path(landing, site), control)
+            files.copy(spark, control_path(raw, site), control_path(landing, site))
     finally:
         files.delete_tree(spark, scratch)

@@ -22,6 +22,14 @@ SETTINGS = {
 # Spark generates smaller pieces instead.
 COMPILED_METHODS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
+# The token key's pads are literals of the plan.  Within these settings neither plan texts nor
+# the event log's plan trees show them: texts blank out long hex numbers, trees leave out the
+# lists of expressions.
+SECRET_PLANS = {
+    "spark.sql.redaction.string.regex": "(?i)[0-9a-f]{128}",
+    "spark.sql.debug.maxToStringFields": "0",
+}
+
 
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """Session for tests and the local benchmark; clusters bring their own."""
@@ -41,10 +49,15 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
 # that keeps this product and the driver's map statuses in hand.  Beyond it tasks get
 # larger and spill.
 _BYTES_PER_REDUCER = 256 << 20
+# Session settings of one's own name raise these defaults: batchgate.maxReducers, .maxSplits.
 _MAX_REDUCERS = 40_000
 _MAX_SPLITS = 100_000
 
 
+def _limit(spark: SparkSession, name: str, default: int) -> int:
+    return int(spark.conf.get(f"batchgate.{name}", str(default)))
+
+
 @contextmanager
 def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     before = {name: spark.conf.get(name, None) for name in values}
@@ -65,9 +78,10 @@ def batch_settings(spark: SparkSession, input_bytes: int):
     """
     largest, cores = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
     to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    split = max(to_bytes(spark.conf.get(largest)), input_bytes // _MAX_SPLITS)
+    split = max(to_bytes(spark.conf.get(largest)), input_bytes // _limit(spark, "maxSplits", _MAX_SPLITS))
     number = spark.conf.get(cores, None) or str(spark.sparkContext.defaultParallelism)
-    return _settings(spark, COMPILED_METHODS | {largest: f"{split}b", cores: number})
+    return _settings(spark, COMPILED_METHODS | SECRET_PLANS | {
+        largest: f"{split}b", cores: number})
 
 
 def wide_shuffles(spark: SparkSession, input_bytes: int):
@@ -76,7 +90,8 @@ def wide_shuffles(spark: SparkSession, input_bytes: int):
     Only for shuffles of whole rows or keys: small aggregations need no such width.
     """
     reducers = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                   min(_MAX_REDUCERS, input_bytes // _BYTES_PER_REDUCER))
+                   min(_limit(spark, "maxReducers", _MAX_REDUCERS),
+                       input_bytes // _BYTES_PER_REDUCER))
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     return _settings(spark, {initial: str(reducers)})
 

@@ -1,7 +1,7 @@
 """Language identification by Bayesian fusion of four kinds of evidence.
 
 * **Text**: byte-trigram likelihoods per language and under a background of independent bytes
-  (``und``: no language), tempered so that a text counts as TEXT_WEIGHT trigrams at most.
+  (``und``: no language; it must win by UNKNOWN_MARGIN a trigram), tempered so that a text counts as TEXT_WEIGHT trigrams at most.
 * **Declared language** (of the markup): how often each language's texts declare what they do.
 * **Address suffix**: how often the hosts under a suffix hold each language.
 * **Host**: a prior per host, smoothed towards that of its parent domain, which is smoothed
@@ -38,6 +38,9 @@ TRAIN_ROWS, TRAIN_CHARS, MAX_LANGUAGES = 400, 20_000, 64
 TEXT_WEIGHT = 100
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 20.0
 MIN_CONFIDENCE = 0.5
+# Log odds per trigram by which independent bytes must explain a text better than any language
+# does: odd vocabulary is not yet noise.
+UNKNOWN_MARGIN = 2.5
 _BITS = 16
 
 # ASCII letters in lower case, other ASCII as a space, bytes of other characters as they are.
@@ -92,7 +95,9 @@ class TextModel:
         for k, row in enumerate(self.tables):
             out[:, k] = add(np.where(fine, row[code], 0).astype(np.float64))
         one = self.singles[raw]
-        out[:, -1] = add(np.where(fine, one[:-2] + one[1:-1] + one[2:], 0).astype(np.float64))
+        # Bytes that no sample holds are as likely as any trigram, not less.
+        noise = np.maximum(one[:-2] + one[1:-1] + one[2:], -np.log(2.0 * (1 << _BITS)))
+        out[:, -1] = add(np.where(fine, noise - UNKNOWN_MARGIN, 0).astype(np.float64))
         out *= (TEXT_WEIGHT / (TEXT_WEIGHT + n))[:, None]
         letters = add((raw[:-2] != 32).astype(np.float64))
         out[letters == 0, :-1] = -np.inf

@@ -169,17 +169,17 @@ def summaries(rows: DataFrame, bits: int, n: int) -> DataFrame:
                 if new:
                     at = (np.concatenate(new) >> _U(64 - bits)).astype(np.int64)
                     np.add.at(counters, at, np.uint32(1))
-                none = pa.nulls(batch.num_rows)
+                rows_here = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(sizes, pa.int64()),
-                     pa.array(classes, pa.int64()), none.cast(pa.int32()),
-                     none.cast(pa.binary())], schema=schema)
+                     pa.array(classes, pa.int64()), pa.nulls(rows_here, pa.int32()),
+                     pa.nulls(rows_here, pa.binary())], schema=schema)
         if seen:
             small = counters.astype(np.uint16 if counters.max() < 1 << 16 else np.uint32)
             parts = small.reshape(-1, min(len(small), 1 << 12))
-            none = pa.nulls(len(parts))
+            none = lambda kind: pa.nulls(len(parts), kind)
             yield pa.RecordBatch.from_arrays(
-                [none.cast(id_type), none.cast(pa.int64()), none.cast(pa.int64()),
+                [none(id_type), none(pa.int64()), none(pa.int64()),
                  pa.array(range(len(parts)), pa.int32()),
                  pa.array([p.tobytes() for p in parts], pa.binary())], schema=schema)
 

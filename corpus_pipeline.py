@@ -9,9 +9,9 @@ of ``documents``.  A stage's result is written as Parquet and read again as the
 4. Benchmark decontamination: words in benchmark windows go, and documents of nothing else.
 5. Best-fit packing: what is left, as pieces of packed sequences.
 
-``n_chars`` follows the text wherever a stage changes it.  Rows with a null doc_id are kept as they
-are where a stage compares ids, unless a row with an id is their near copy; rows that repeat an
-id and text are one document from the third stage on.
+``n_chars`` follows the text wherever a stage changes it.  Of a group of near copies rows with an
+id come before rows without one; rows that repeat an id, or null, with its text are one document
+from the third stage on.
 """
 
 from __future__ import annotations
@@ -45,16 +45,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    groups = staged(near_duplicate_groups(docs))
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    gone_id = fresh(docs, "gone_id")
-    gone = groups.where(~stays).select(F.col("doc_id").alias(gone_id)).distinct()
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)), "left_anti")
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
+    names = [fresh(docs, n) for n in ("no_id", "id", "text_hash")]
+    parts = dict(zip(names, (F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"))))
+    # Rows without an id come last in a group, and texts tell them apart.
+    key = fresh(docs, "key")
+    keyed = docs.withColumn(key, F.struct(*[c.alias(n) for n, c in parts.items()]))
+    groups = staged(near_duplicate_groups(keyed, id_col=key))
+    gone = groups.where("doc_id <> component_id").select("doc_id.*").distinct()
+    same = [parts[n].eqNullSafe(gone[n]) for n in names]
+    kept = docs.join(gone, same, "left_anti")
+    if groups.groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
-    return kept.where("doc_id is null").unionByName(
-        kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +65,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     before = docs.withColumn(length, F.length("text"))
     after = decontaminate(before, table(spark, sf_dir, "benchmark"))
     changed = F.coalesce(F.length("text") != F.col(length), F.lit(False))
-    return after.where(~changed | (F.trim("text") != "")).withColumn(
+    words = F.col("text").rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")
+    return after.where(~changed | words).withColumn(
         "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(
             F.col("n_chars"))).select(*map(quoted, docs.columns))
 

@@ -18,7 +18,8 @@ All of it is counting, so a line that is in a third of all documents is one part
 2. Masked lines that recur as they are need no tree.
 3. In leaves that enough texts share, the tokens of the other lines are counted by position; lines
    whose constants make up ``agreement`` of them get a template, and templates are counted alike.
-4. The lines found are joined to the texts they are in and cut out there.
+4. The lines found are joined to the texts they are in and cut out there; the join is a shuffle
+   at every size.
 
 Cases: lines of fewer than ``min_tokens`` tokens are never dropped, but are neighbours; null and
 empty texts stay as they are; equal texts count once and lose the same lines; a text that has
@@ -206,7 +207,8 @@ def without_templates(docs: DataFrame, text_col: str = "text", **limits) -> Data
     key, lost = fresh(docs, "text_key"), fresh(docs, "lost_lines")
     names = [fresh(docs, "n_lines"), fresh(docs, "n_dropped")]
     joined = docs.withColumn(key, F.xxhash64(quoted(text_col).cast("string"))).join(
-        per_text.select(F.col("doc").alias(key), F.col("gone").alias(lost)), key, "left").select(
+        per_text.select(F.col("doc").alias(key), F.col("gone").alias(lost)).hint("merge"),
+        key, "left").select(
         *[quoted(c) for c in docs.columns], lost)
     at, width = docs.columns.index(text_col), len(docs.columns)
     min_tokens = limits["min_tokens"]

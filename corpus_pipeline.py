@@ -53,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = staged(near_duplicate_groups(keyed, id_col=key))
     gone = groups.where("doc_id <> component_id").select("doc_id.*").distinct()
     same = [parts[n].eqNullSafe(gone[n]) for n in names]
-    kept = docs.join(gone, same, "left_anti")
+    kept = docs.join(gone.hint("merge"), same, "left_anti")  # one plan at every size
     if groups.groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
     return kept.dropDuplicates(["doc_id", "text"])

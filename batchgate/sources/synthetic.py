@@ -62,7 +62,7 @@ def generate(spark: SparkSession, folder: str, day: str, rows_per_hospital: int
              dirty: bool = True) -> dict:
     """Write both sites' deliveries, control files and ``manifest.json``."""
     if rows_per_hospital < 1:
-        raise ValueError("rows_per_hospital must be positive")
+        raise ValueError("a site delivers one row at least")
     batch_day = F.lit(date.fromisoformat(day))
     folder = str(folder).rstrip("/")
     for site in DEFAULT.sites:

@@ -69,9 +69,61 @@ QUERIES = {
         op9_ngram_jaccard_join, op10_nearest_neighbours)
 }
 
-_ITEM_WORDS = """
-    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
-    FROM benchmark"""
-
-ORACLES: dict[str, str] = {}
+# A-Z to a-z, in SQL.
+_LOWER = """translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+_WORDS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_TOKENS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+')"
+
+ORACLES: dict[str, str] = {
+    # Roles of the tables need no escapes; a control string in a text costs a character.
+    "op3_chat_formatting": r"""
+        WITH t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+          FROM conversations UNION ALL
+          VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'),
+                 (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'))
+        SELECT conv_id, count(*) AS n_turns,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+            AS turns_sha256,
+          coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+            FILTER (role = 'assistant'), '')) AS loss_sha256,
+          sum(length('<|im_start|>') + length(role) + 1 + length(text)
+            + len(regexp_extract_all(text, '<\\*\|(im_start|im_end)\|>'))
+            + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+        FROM t GROUP BY conv_id""",
+    "op7_benchmark_decontamination": f"""
+        WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+        windows AS (SELECT DISTINCT item_id, w[i:i + least(10, len(w)) - 1] AS k
+          FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+            FROM items WHERE len(w) > 0)),
+        docs AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+        places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM docs, (SELECT DISTINCT len(k) AS n FROM windows) WHERE len(w) >= n),
+        hits AS (SELECT doc_id, i, n, item_id FROM places JOIN windows
+          ON len(k) = n AND w[i:i + n - 1] = k),
+        words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+          FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+        found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+            array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids
+          FROM hits GROUP BY 1)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+          coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+          coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op9_ngram_jaccard_join": f"""
+        WITH RECURSIVE docs AS (SELECT doc_id, coalesce({_TOKENS}, []) AS w FROM documents),
+        grams AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i
+            FROM docs WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
+        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+          FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM shared JOIN sizes s ON s.doc_id = a
+          JOIN sizes t ON t.doc_id = b WHERE 100 * shared.n >= 75 * (s.n + t.n - shared.n)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION
+          SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM docs
+        LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) USING (doc_id)""",
+}

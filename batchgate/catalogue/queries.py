@@ -25,7 +25,8 @@ from batchgate.operators.compare import snapshot_diff
 from batchgate.operators.contract import (
     CANONICAL, DEFAULT, canonical, classify, site_date, strict_shape, unit_factor,
 )
-from batchgate.operators.digest import row_hash, tree_depth, tree_digest
+from batchgate.operators.median import medians
+from batchgate.operators.digest import row_hash, tree_digest
 from batchgate.plans import store as stores
 from batchgate.plans.batch import entity_rows, run_batch
 from batchgate.plans.stage import stage, typed_rows
@@ -34,7 +35,7 @@ from batchgate.session import scratch_folder
 from batchgate.sources import files, landing
 from batchgate.sources.jsonbatch import expand_json, pack_json
 from batchgate.sources.normalise import land
-from batchgate.sources.synthetic import dirty_rows, site_rows
+from batchgate.sources.synthetic import dirty_rows, site_rows, write_control
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -281,8 +282,7 @@ def row_digest(spark, sf_dir):
 @query
 def snapshot_digest(spark, sf_dir):
     orders = _order_text(spark, sf_dir)
-    return tree_digest(orders.select(row_hash(_ORDER_COLUMNS).alias("h")),
-                       tree_depth(orders.count()))
+    return tree_digest(orders.select(row_hash(_ORDER_COLUMNS).alias("h")))
 
 
 @query
@@ -290,14 +290,13 @@ def lineitem_digest(spark, sf_dir):
     """A table large enough to need more than one level; its rows repeat, digests allow that."""
     columns = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     rows = read(spark, sf_dir, "lineitem").select(*columns)
-    return tree_digest(rows.select(row_hash(columns).alias("h")), tree_depth(rows.count()))
+    return tree_digest(rows.select(row_hash(columns).alias("h")))
 
 
 @query
 def digest_per_day(spark, sf_dir):
     orders = _order_text(spark, sf_dir)
-    return tree_digest(orders.select("day", row_hash(_ORDER_COLUMNS).alias("h")),
-                       tree_depth(orders.count()), ["day"])
+    return tree_digest(orders.select("day", row_hash(_ORDER_COLUMNS).alias("h")), by=["day"])
 
 
 @query
@@ -314,8 +313,7 @@ def late_arrival_digest(spark, sf_dir):
     for name, table in scenarios.items():
         part = table.select(F.lit(name).alias("scenario"), row_hash(CANONICAL).alias("h"))
         hashed = part if hashed is None else hashed.unionByName(part)
-    depth = tree_depth(read(spark, sf_dir, "events").count())
-    return tree_digest(hashed, depth, ["scenario"])
+    return tree_digest(hashed, by=["scenario"])
 
 
 @query
@@ -383,10 +381,8 @@ def metrics_json(spark, sf_dir):
 @query
 def median_duration(spark, sf_dir):
     """Exact median per event type; equal values are counted before they meet."""
-    events = read(spark, sf_dir, "events").where(F.col("value").isNotNull())
-    counted = events.groupBy("event_type", "value").agg(row_count().alias("n"))
-    median = F.expr("percentile(value, 0.5, n)")
-    return counted.groupBy("event_type").agg(F.round(median, 4).alias("median_value"))
+    return medians(read(spark, sf_dir, "events"), "event_type", "value").select(
+        "event_type", F.round("median", 4).alias("median_value"))
 
 
 @query
@@ -473,21 +469,35 @@ def spanning_records(spark, sf_dir):
 
 @query
 def delivery_fingerprint(spark, sf_dir):
-    """Lines per site from the fingerprint scan; two scans must agree."""
-    folder = deliver_files(spark, delivered(spark, sf_dir))
-    same = landing.input_fingerprint(spark, folder, SITES) == (
-        landing.input_fingerprint(spark, folder, SITES))
+    """Lines per site from the fingerprint scan; copied files keep it, one other value does not."""
+    rows = delivered(spark, sf_dir)
+    folder, copy = deliver_files(spark, rows), scratch_folder(spark)
+    files.copy(spark, folder, copy)
+    first = landing.input_fingerprint(spark, folder, SITES)
+    same = first == landing.input_fingerprint(spark, copy, SITES)
+    last = rows.agg(F.max("event_id")).first()[0]
+    other = F.when(F.col("event_id") == last, F.lit("0.25")).otherwise(F.col("value"))
+    changed = deliver_files(spark, rows.withColumn("value", other))
+    seen = first != landing.input_fingerprint(spark, changed, SITES)
+    for gone in (copy, changed):
+        files.delete_tree(spark, gone)
     hashed = _lines(spark, folder).withColumn("line_hash", landing.line_hash(F.col("value")))
     blocks = landing.line_sums(hashed, ("hospital", "file", "block"))
     summaries = landing.file_summary(landing.with_offsets(blocks))
     return summaries.groupBy("hospital").agg(
-        F.sum(F.col("lines") - 1).alias("rows"), F.lit(same).alias("unchanged"))
+        F.sum(F.col("lines") - 1).alias("rows"), F.lit(same).alias("unchanged"),
+        F.lit(seen).alias("change_seen"))
 
 
 @query
 def control_files(spark, sf_dir):
-    """Control files of the delivery against the rows in its data files."""
-    folder = deliver_files(spark, delivered(spark, sf_dir))
+    """Control files of the delivery against the rows in its data files; one site announces
+    fewer."""
+    rows = delivered(spark, sf_dir)
+    folder = deliver_files(spark, rows)
+    fewer = rows.where(F.col("hospital") == SITES[-1]).where("event_id % 7 <> 0").count()
+    files.delete_tree(spark, landing.control_path(folder, SITES[-1]))
+    write_control(spark, folder, SITES[-1], fewer)
     controls = landing.read_controls(spark, [landing.control_path(folder, s) for s in SITES])
     header = ",".join(DEFAULT.columns)
     counts = _lines(spark, folder).where(F.col("value") != header).groupBy("hospital").agg(

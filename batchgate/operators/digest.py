@@ -37,23 +37,46 @@ def tree_depth(rows: int) -> int:
     return depth
 
 
-def tree_digest(hashes: DataFrame, depth: int, by: Sequence[str] = ()) -> DataFrame:
+def _group_depths(copies: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Columns ``by`` and ``depth``: every group's own, from its number of different rows."""
+    rows = F.count(F.lit(1))
+    # As many as a table can count: 16384 rows times 16 to the power of 12.
+    depth = sum(((rows > _LEAF * 16**k).cast("int") for k in range(1, 12)),
+                (rows > _LEAF).cast("int"))
+    return copies.groupBy(*by).agg(depth.alias("depth"))
+
+
+def tree_digest(hashes: DataFrame, depth: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Columns ``by`` plus ``digest`` over the column ``h`` of row hashes (hex).
 
-    A node is the sha256 of the joined bytes of its sorted children; leaves collect the row
-    hashes that share ``depth`` hex digits, and upper nodes carry their prefix in front of
-    their hash.  Order and partitioning do not matter, and no value grows with the table.
-    Without ``by`` an empty table gives the empty string.
+    Copies of a row are counted first and stand in the tree as one, so a row that repeats any
+    number of times is one partial sum per task.  A node is the sha256 of the joined bytes of its
+    sorted children; leaves collect the rows that share ``depth`` hex digits, and upper nodes
+    carry their prefix in front of their hash.  Order and partitioning do not matter, and no value
+    grows with the table.  Without ``depth`` every group of ``by`` has its own, which depends on
+    its rows alone.  Without ``by`` an empty table gives the empty string.
     """
+    by = list(by)
     node = "sha2(listagg(b, X'') WITHIN GROUP (ORDER BY b), 256)"
-    prefix = F.substring("h", 1, depth)
-    level = hashes.select(*by, prefix.alias("p"), F.unhex("h").alias("b"))
-    while depth > 0:
-        depth = max(0, depth - _STEP)
-        level = level.groupBy(*by, "p").agg(F.expr(node).alias("d")).select(
-            *by, F.substring("p", 1, depth).alias("p"),
-            F.concat(F.encode("p", "UTF-8"), F.unhex("d")).alias("b"),
-        )
+    copies = hashes.groupBy(*by, "h").agg(F.count(F.lit(1)).alias("n"))
+    if depth is None:
+        depths = _group_depths(copies, by)
+        deepest = depths.agg(F.max("depth")).first()[0] or 0
+        level = copies.join(depths, by) if by else copies.withColumn("depth", F.lit(deepest))
+    else:
+        deepest = depth
+        level = copies.withColumn("depth", F.lit(depth))
+    single = F.when(F.col("n") == 1, F.col("h")).otherwise(
+        F.sha2(F.concat("h", F.lit(":"), F.col("n").cast("string")), 256))
+    level = level.select(*by, "depth", F.expr("substring(h, 1, depth)").alias("p"),
+                         F.unhex(single).alias("b"))
+    for _ in range(-(-deepest // _STEP)):
+        upper = F.greatest(F.lit(0), F.col("depth") - _STEP)
+        lower = level.where("depth > 0").groupBy(*by, "depth", "p").agg(F.expr(node).alias("d"))
+        lower = lower.select(
+            *by, upper.alias("depth"), F.substr("p", F.lit(1), upper).alias("up"),
+            F.concat(F.encode("p", "UTF-8"), F.unhex("d")).alias("b"))
+        level = lower.withColumnRenamed("up", "p").unionByName(level.where("depth = 0"))
     return level.groupBy(*by).agg(F.expr(f"coalesce({node}, '')").alias("digest"))
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import statistics
 from collections import Counter
 from datetime import date
 from decimal import Decimal
@@ -20,6 +21,7 @@ from batchgate.operators import audit as expect
 from batchgate.operators import gates
 from batchgate.operators.compare import snapshot_diff
 from batchgate.operators.digest import row_hash, table_digest, tree_depth, tree_digest
+from batchgate.operators.median import medians
 from batchgate.plans.store import latest_runs
 from batchgate.session import batch_settings, wide_shuffles
 from batchgate.sources.jsonbatch import expand_json, pack_json
@@ -90,6 +92,34 @@ def test_tree_digest(spark, depth):
     assert tree_digest(rows.limit(499), depth).first().digest != digest
 
 
+def test_every_group_has_its_own_depth(spark, monkeypatch):
+    """A group's digest stays what it is when other groups grow, copies included."""
+    monkeypatch.setattr("batchgate.operators.digest._LEAF", 20)
+    rng = random.Random(3)
+    groups = {g: [hashlib.sha256(rng.randbytes(8)).hexdigest() for _ in range(n)]
+              for g, n in ((0, 15), (1, 300), (2, 90_000), (3, 2))}
+    rows = [(g, h) for g, own in groups.items() for h in own]
+    frame = spark.createDataFrame(rows + [(3, groups[3][0])] * 999, "g int, h string")
+    found = {r.g: r.digest for r in tree_digest(frame, by=["g"]).collect()}
+    groups[3][0] = hashlib.sha256(f"{groups[3][0]}:1000".encode()).hexdigest()
+    for (g, own), depth in zip(groups.items(), (0, 1, 4, 0)):
+        assert found[g] == brute_digest(own, depth), g
+        alone = tree_digest(frame.where(f"g = {g}").select("h")).first().digest
+        assert alone == found[g]
+
+
+def test_medians(spark):
+    rng = random.Random(4)
+    groups = {"a": [5.0] * 4000 + [rng.random() * 9 for _ in range(3000)],
+              "b": [rng.gauss(0, 1) for _ in range(2001)], "c": [1.0, 2.0], "d": [7.0],
+              None: [3.0, 1.0, 2.0]}
+    rows = [(k, v) for k, own in groups.items() for v in own] + [("d", None), ("e", None)]
+    rng.shuffle(rows)
+    found = medians(spark.createDataFrame(rows, "k string, v double"), "k", "v").collect()
+    assert {r.k: r.median for r in found if r.k} == {
+        k: statistics.median(own) for k, own in groups.items() if k}
+
+
 def test_row_hash_is_unambiguous(spark):
     rows = [("a|b", "c"), ("a", "b|c"), ("a\\", "|b"), ("a", "\\|b"), (None, "x"), ("\\N", "x"),
             ("", "x"), ("x", None), ("x", "")]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from batchgate.session import scratch_folder
+
 # Row hashes per leaf stay near this, whatever the table size.
 _LEAF = 16384
 _STEP = 3
@@ -60,6 +62,9 @@ def tree_digest(hashes: DataFrame, depth: int | None = None, by: Sequence[str] =
     node = "sha2(listagg(b, X'') WITHIN GROUP (ORDER BY b), 256)"
     copies = hashes.groupBy(*by, "h").agg(F.count(F.lit(1)).alias("n"))
     if depth is None:
+        path = scratch_folder(hashes.sparkSession)  # the rows behind the hashes are read once
+        copies.write.parquet(path)
+        copies = hashes.sparkSession.read.schema(copies.schema).parquet(path)
         depths = _group_depths(copies, by)
         deepest = depths.agg(F.max("depth")).first()[0] or 0
         level = copies.join(depths, by) if by else copies.withColumn("depth", F.lit(deepest))

@@ -45,6 +45,13 @@ def row_count():
     return F.count(F.lit(1))
 
 
+def written(table: DataFrame) -> DataFrame:
+    """The table as files of the scratch area: what is behind it is evaluated once."""
+    path = scratch_folder(table.sparkSession)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
     return run
@@ -78,24 +85,24 @@ def reject_ratio(spark, sf_dir):
 @query
 def batch_summary(spark, sf_dir):
     """Accepted, duplicate and rejected rows per site of a batch that was sent twice."""
-    once = classified(spark, sf_dir)
-    rows = canonical(once.unionByName(once), DEMO_KEY)
-    tallies = rows.groupBy("hospital").agg(
-        row_count().alias("input_rows"),
-        F.count_if(F.col("reason").isNotNull()).alias("rejected_rows"))
-    clean = (
-        rows.where(F.col("reason").isNull()).select(*CANONICAL).distinct()
-        .groupBy("hospital").agg(row_count().alias("accepted_rows"))
-    )
+    # The copies are made of classified rows, and one grouping gives all counts.
+    rows = canonical(classified(spark, sf_dir), DEMO_KEY).withColumn(
+        "copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    rejected = F.col("reason").isNotNull().alias("rejected")
+    copies = rows.groupBy(*CANONICAL, rejected).agg(row_count().alias("n"))
+    tallies = copies.groupBy("hospital").agg(
+        F.sum("n").alias("input_rows"),
+        F.sum(F.when(F.col("rejected"), F.col("n")).otherwise(0)).alias("rejected_rows"),
+        F.count_if(~F.col("rejected")).alias("accepted_rows"))
     left = F.col("input_rows") - F.col("rejected_rows") - F.col("accepted_rows")
-    return tallies.join(clean, "hospital").withColumn("duplicate_rows", left)
+    return tallies.where("accepted_rows > 0").withColumn("duplicate_rows", left)
 
 
 @query
 def gate_report(spark, sf_dir):
-    rows = classified(spark, sf_dir)
-    clean = canonical(rows, DEMO_KEY).where(F.col("reason").isNull()).select(*CANONICAL)
-    return gates.gate_report(rows, clean.distinct(), SITES, 0.1)
+    rows = written(canonical(classified(spark, sf_dir), DEMO_KEY))
+    clean = written(rows.where(F.col("reason").isNull()).select(*CANONICAL).distinct())
+    return gates.gate_report(rows, clean, SITES, 0.1)
 
 
 @query
@@ -401,8 +408,9 @@ def throughput(spark, sf_dir):
 @query
 def audit_expectations(spark, sf_dir):
     """The two snapshot suites on tables made from the accepted events."""
-    rows = canonical(classified(spark, sf_dir), DEMO_KEY).where(F.col("reason").isNull())
-    tables = {t: entity_rows(rows, t) for t in ("measurement_snapshot", "patient_snapshot")}
+    rows = written(canonical(classified(spark, sf_dir), DEMO_KEY).where(F.col("reason").isNull()))
+    tables = {t: written(entity_rows(rows, t))
+              for t in ("measurement_snapshot", "patient_snapshot")}
     suites = expect.snapshot_suites(tables["measurement_snapshot"].count(), LAST_DAY.year)
     return expect.audit_rows(tables, suites).drop("position")
 

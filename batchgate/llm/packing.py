@@ -23,6 +23,7 @@ are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -42,6 +43,7 @@ CACHED_WORDS = 800_000
 # Part of the fractional solution that is bought whole; the rest is rounded by best fit.
 KEPT = 0.9
 _BREAK = "<|startoftext|>"
+_LETTERS = re.compile("[a-zß-öø-ÿ]+").fullmatch
 
 
 class WordEncoder:
@@ -52,9 +54,15 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Lower-case Latin letters need no normal form and are one piece between white space.
+        self.quick = Tokenizer.from_file(path)
+        self.quick.normalizer = normalizers.Sequence([])
+        self.quick.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.stop = self.tokenizer.token_to_id(_BREAK)
         self.clear()
 
@@ -65,21 +73,23 @@ class WordEncoder:
         self.starts = np.zeros(1, np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        odd = [w for w in words if "<|" in w]
-        plain = [w for w in words if "<|" not in w]
+        letters, other, odd = [], [], []
+        for word in words:
+            (letters if _LETTERS(word) else odd if "<|" in word else other).append(word)
         counts, parts = [], [self.flat]
-        for at in range(0, len(plain), 400):
-            some = plain[at:at + 400]
-            ids = np.array(self.tokenizer.encode(
-                f" {_BREAK} ".join(some), add_special_tokens=False).ids, np.int32)
-            ends = np.flatnonzero(np.append(ids, self.stop) == self.stop)
-            counts.append(np.diff(ends, prepend=-1) - 1)
-            parts.append(ids[ids != self.stop])
+        for tokenizer, plain in ((self.quick, letters), (self.tokenizer, other)):
+            for at in range(0, len(plain), 4000):
+                ids = np.array(tokenizer.encode(
+                    f" {_BREAK} ".join(plain[at:at + 4000]), add_special_tokens=False).ids,
+                    np.int32)
+                ends = np.flatnonzero(np.append(ids, self.stop) == self.stop)
+                counts.append(np.diff(ends, prepend=-1) - 1)
+                parts.append(ids[ids != self.stop])
         for word in odd:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             counts.append(np.array([len(ids)]))
             parts.append(np.array(ids, np.int32))
-        for word in plain + odd:
+        for word in letters + other + odd:
             self.known[word] = len(self.known)
         self.flat = np.concatenate(parts)
         self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts)))
@@ -95,9 +105,10 @@ class WordEncoder:
         coded = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         bounds -= bounds[0]
         distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > CACHED_WORDS:
-            self.clear()
         fresh = [w for w in distinct if w not in self.known]
+        if len(self.known) + len(fresh) > CACHED_WORDS:
+            self.clear()
+            fresh = distinct
         if fresh:
             self._learn(fresh)
         at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
@@ -126,6 +137,20 @@ def text_chunks(batch: pa.RecordBatch, column: str,
         yield batch.slice(a, b - a)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, while their text is below CHUNK_BYTES."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= CHUNK_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per piece: its document's index, its number, its start; documents of the given lengths."""
     pieces = -(-lengths // capacity)
@@ -147,8 +172,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, separator: int
         encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(
             tokenizer, WordEncoder(tokenizer))
         seen = np.zeros(capacity + 1, np.int64)
-        for whole in batches:
-            for batch in text_chunks(whole, "text"):
+        for whole in gathered(batches, "text"):
+            for batch in text_chunks(whole, "text", 2 * CHUNK_BYTES):
                 flat, ends = encoder.encode(batch.column("text"))
                 # The separator closes each document.
                 flat = np.insert(flat, ends, separator).astype("<u4")

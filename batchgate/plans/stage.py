@@ -90,7 +90,8 @@ def stage_spanning(spark: SparkSession, paths: Sequence[str], spanning: DataFram
     """Line-spanning records put together and typed, from a second look at their lines.
 
     Splits are cut as in the first scan, and every line must hash to what that scan saw.
-    Also names the sites with a record too long to be one; theirs are left apart.
+    Records longer than any with the contract's columns have more of them, or a field beyond the
+    limit: the former stand as a record of too many empty columns, the latter's sites are named.
     """
     value = F.col("value")
     same = landing.line_hash(value) == F.col("line_hash")
@@ -100,15 +101,31 @@ def stage_spanning(spark: SparkSession, paths: Sequence[str], spanning: DataFram
     text = spark.read.parquet(f"{scratch}/text")
     if text.count() != spanning.count():
         raise BatchError("INTERNAL_ERROR")
-    too_long = landing.oversized_records(text, len(contract.columns))
-    refused = {r["hospital"] for r in too_long.select("hospital").distinct().collect()}
+    keys = ["hospital", "file", "record"]
+    landing.oversized_records(text, len(contract.columns)).write.parquet(f"{scratch}/oversized")
+    too_long = spark.read.parquet(f"{scratch}/oversized").select(*keys)
+    stubs = None
+    refused: set[str] = set()
+    if not too_long.isEmpty():
+        long_lines = text.join(too_long, keys, "left_semi")
+        wide = landing.longest_fields(long_lines).where(F.col("longest") > landing.FIELD_LIMIT)
+        broken = long_lines.where(~F.is_valid_utf8(value))
+        refused = {r["hospital"] for r in wide.select("hospital").unionByName(
+            broken.select("hospital")).distinct().collect()}
+        stubs = long_lines.groupBy(*keys).agg(F.max("line").alias("line")).select(
+            "hospital", "file", "line", F.lit("," * len(contract.columns)).alias("value"))
+        text = text.join(too_long, keys, "left_anti")
     if refused:
         text = text.where(~F.col("hospital").isin(*refused))
+        stubs = stubs.where(~F.col("hospital").isin(*refused))
     kind: Column = (
         F.when(~F.is_valid_utf8(value), "undecodable")
         .when(landing.too_wide(value), "oversized").otherwise("row")
     )
-    records = landing.join_records(text).withColumn("kind", kind)
+    records = landing.join_records(text)
+    if stubs is not None:
+        records = records.unionByName(stubs)
+    records = records.withColumn("kind", kind)
     typed = typed_rows(records, day, key, contract, ("file", "line", "kind"))
     pack_tokens(typed, _token_columns(contract)).write.parquet(f"{scratch}/records")
     return spark.read.parquet(f"{scratch}/records"), refused

@@ -375,7 +375,7 @@ def is_long(line: Column) -> Column:
 def join_records(spanning: DataFrame) -> DataFrame:
     """One row per line-spanning record: ``hospital, file, line`` (its last) and ``value``.
 
-    :func:`oversized_records` must be empty, which bounds every group.
+    Leave :func:`oversized_records` out, which bounds every group.
     """
     return spanning.groupBy("hospital", "file", "record").agg(
         F.max("line").alias("line"),
@@ -407,6 +407,33 @@ def oversized_records(spanning: DataFrame, columns: int) -> DataFrame:
     )
 
 
+def longest_fields(lines: DataFrame) -> DataFrame:
+    """Per line-spanning record its longest field: ``hospital, file, record, longest``.
+
+    Nothing is put together: a line counts the characters of its pieces of fields, and pieces of
+    one field meet by its number in the record.  A line behind the first starts inside quotes.
+    """
+    keys = ["hospital", "file", "record"]
+    inside = F.when(F.col("mid") == F.col("record"), F.col("value")).otherwise(
+        F.concat(F.lit('"'), F.col("value")))
+    pieces = F.transform(raw_fields(inside), lambda f: F.length(unquote(f)).cast("long"))
+    counted = lines.select(*keys, "line", pieces.alias("p")).select(
+        *keys, "line", F.size("p").alias("n"), F.get("p", F.lit(0)).alias("first"),
+        F.element_at("p", -1).alias("last"), F.array_max("p").alias("most"))
+    before = Window.partitionBy(*keys).orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn(
+        "at", F.coalesce(F.sum(F.col("n") - 1).over(before), F.lit(0)))
+    # A piece that goes on in the next line has the line end between them.
+    ends = F.array(
+        F.struct(F.col("at").alias("field"), F.col("first").alias("size")),
+        F.when(F.col("n") > 1, F.struct(
+            (F.col("at") + F.col("n") - 1).alias("field"), F.col("last").alias("size"))))
+    fields = placed.select(*keys, "most", F.explode(F.array_compact(ends)).alias("e")).groupBy(
+        *keys, "e.field").agg((F.sum("e.size") + F.count(F.lit(1)) - 1).alias("size"),
+                              F.max("most").alias("most"))
+    return fields.groupBy(*keys).agg(F.max(F.greatest("size", "most")).alias("longest"))
+
+
 def too_wide(record: Column) -> Column:
     """Has a field beyond the limit that holds once records span lines."""
     longest = F.array_max(F.transform(raw_fields(record), lambda f: F.length(unquote(f))))

@@ -212,3 +212,19 @@ def test_record_without_end_is_refused_in_one_piece(spark, delivery, store, tmp_
     delivery.fill().append("A", 'SYN-P-1,1980,"' + filler[:200000] + '"\n', 45)
     with pytest.raises(BatchError, match="INTERNAL_ERROR"):
         run_batch(spark, str(delivery), store, DAY)
+
+
+def test_long_record_of_legal_fields_is_one_reject(spark, delivery, store):
+    """Longer than any record of nine fields within the limit, and yet no field is beyond it."""
+    fields = ['"' + "x" * 60_000 + "\n" + "y" * 40_000 + '"'] * 25 + ["z"] * 8
+    delivery.append("A", ",".join(fields) + "\r\n", 45)
+    report = run_batch(spark, str(delivery), store, DAY, max_reject_ratio=0.2)
+    assert report["reject_reasons"]["COLUMN_COUNT"] == 1
+    found = {r.line: r.reason for r in quarantine_rows(spark, store, report["run_id"])
+             .where("hospital = 'A' and line > 45").collect()}
+    assert found == {71: "COLUMN_COUNT"}
+    # One of its fields grows beyond the limit, in three pieces.
+    fields[3] = '"' + "\n".join(["x" * 44_000] * 3) + '"'
+    delivery.fill().append("A", ",".join(fields) + "\r\n", 45)
+    with pytest.raises(BatchError, match="INTERNAL_ERROR"):
+        run_batch(spark, str(delivery), store, DAY)

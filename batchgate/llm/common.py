@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -71,3 +72,12 @@ def bounded_sample(frame: DataFrame, key: list[str], rows: int) -> DataFrame:
     rate = min(1.0, 2 * rows / max(1, frame.count()))
     place = F.pmod(F.xxhash64(*key), F.lit(1 << 30)) / (1 << 30)
     return frame.where(place <= rate).orderBy(F.xxhash64(*key), *key).limit(rows)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import quoted, staged
+from batchgate.llm.common import mixed, quoted, staged
 from batchgate.llm.components import components
 from batchgate.llm.membership import bit_array, may_hold, spot
 from batchgate.llm.packing import text_chunks
@@ -64,15 +64,6 @@ _U = np.uint64
 _WEIGHTS = np.random.default_rng(20240917).integers(1, 1 << 63, 16, dtype=np.uint64) * _U(2) + _U(1)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit."""
-    x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> _U(27))
-    x = x * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint64) + _U(1)

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import CHUNK_BYTES, quoted, running_offsets, staged
+from batchgate.llm.common import CHUNK_BYTES, mixed, quoted, running_offsets, staged
 
 ROUNDS = 20
 ETA = 24.0
@@ -50,7 +50,8 @@ class WordEncoder:
     """Token ids of whole texts, with the ids of words seen before kept in memory.
 
     The tokenizer never merges across white space, so a text's ids are those of its words.
-    Each unknown word is encoded once, many at a time with a special token between them.
+    Each unknown word is encoded once, many at a time with a special token between them.  Words are
+    known by 128 bits of hash, which keeps a worker's memory small between its tasks.
     """
 
     def __init__(self, path: str):
@@ -67,30 +68,58 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        # Known words by two hashes of their bytes, in the order of the first: 24 bytes a word.
+        self.keys = np.zeros(1, np.uint64)
+        self.checks = np.zeros(1, np.uint64)
+        self.place = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.int32)
-        self.starts = np.zeros(1, np.int64)
-
-    def _learn(self, words: list[str]) -> None:
+        self.starts = np.zeros(2, np.int64)  # the empty word is known and has no ids
+
+    @staticmethod
+    def _hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits a word; both are 0 for the empty one."""
+        if not len(words):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        offsets = np.frombuffer(words.buffers()[1], np.int32).astype(np.int64)
+        offsets = offsets[words.offset:words.offset + len(words) + 1]
+        raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        begin, size = offsets[:-1] - offsets[0], np.diff(offsets)
+        if not len(raw):
+            return np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
+        at = np.arange(len(raw)) - np.repeat(begin, size)
+        weights = mixed(np.arange(1, 2 * int(size.max()) + 1, dtype=np.uint64))
+        letters = raw.astype(np.uint64) + np.uint64(1)
+        first = np.minimum(begin, len(raw) - 1)
+        return tuple(np.where(size > 0, mixed(np.add.reduceat(letters * w[at], first)), 0).astype(
+            np.uint64) for w in (weights[::2], weights[1::2]))
+
+    def _find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of words, and which are known."""
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.place[at], (self.keys[at] == keys) & (self.checks[at] == checks)
+
+    def _learn(self, words: list[str], keys: np.ndarray, checks: np.ndarray) -> None:
         letters, other, odd = [], [], []
-        for word in words:
-            (letters if _LETTERS(word) else odd if "<|" in word else other).append(word)
+        for k, word in enumerate(words):
+            (letters if _LETTERS(word) else odd if "<|" in word else other).append(k)
         counts, parts = [], [self.flat]
         for tokenizer, plain in ((self.quick, letters), (self.tokenizer, other)):
             for at in range(0, len(plain), 4000):
                 ids = np.array(tokenizer.encode(
-                    f" {_BREAK} ".join(plain[at:at + 4000]), add_special_tokens=False).ids,
-                    np.int32)
+                    f" {_BREAK} ".join([words[k] for k in plain[at:at + 4000]]),
+                    add_special_tokens=False).ids, np.int32)
                 ends = np.flatnonzero(np.append(ids, self.stop) == self.stop)
                 counts.append(np.diff(ends, prepend=-1) - 1)
                 parts.append(ids[ids != self.stop])
-        for word in odd:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        for k in odd:
+            ids = self.tokenizer.encode(words[k], add_special_tokens=False).ids
             counts.append(np.array([len(ids)]))
             parts.append(np.array(ids, np.int32))
-        for word in letters + other + odd:
-            self.known[word] = len(self.known)
+        new = np.array(letters + other + odd)
+        place = np.append(self.place, len(self.starts) - 1 + np.arange(len(new)))
+        keys, checks = np.append(self.keys, keys[new]), np.append(self.checks, checks[new])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.checks, self.place = keys[order], checks[order], place[order]
         self.flat = np.concatenate(parts)
         self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts)))
 
@@ -104,14 +133,15 @@ class WordEncoder:
         bounds = split.offsets.to_numpy().astype(np.int64)
         coded = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         bounds -= bounds[0]
-        distinct = coded.dictionary.to_pylist()
-        fresh = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(fresh) > CACHED_WORDS:
+        keys, checks = self._hashes(coded.dictionary)
+        at, known = self._find(keys, checks)
+        if len(self.keys) + (~known).sum() > CACHED_WORDS:
             self.clear()
-            fresh = distinct
-        if fresh:
-            self._learn(fresh)
-        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+            at, known = self._find(keys, checks)
+        if not known.all():
+            self._learn(coded.dictionary.filter(pa.array(~known)).to_pylist(),
+                        keys[~known], checks[~known])
+            at, _ = self._find(keys, checks)
         begin = self.starts[at] if len(at) else np.zeros(0, np.int64)
         size = (self.starts[at + 1] - begin) if len(at) else begin
         codes = coded.indices.to_numpy()

@@ -24,11 +24,6 @@ TABLES: dict[str, StructType] = {
         measurement_date=_DAY, test_code=_TEXT, value=DecimalType(18, 4), unit=_TEXT),
 }
 
-STAGE = _schema(
-    batch_date=_DAY, hospital=_TEXT, person_id=_TEXT, birth_year=IntegerType(), visit_id=_TEXT,
-    visit_date=_DAY, measurement_id=_TEXT, measurement_date=_DAY, test_code=_TEXT,
-    value=DecimalType(18, 4), unit=_TEXT)
-
 QUARANTINE = _schema(hospital=_TEXT, file=_TEXT, line=LongType(), reason=_TEXT)
 
 RUNS = _schema(

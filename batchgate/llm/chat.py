@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import quoted
+from batchgate.llm.common import quoted, tidy
 
 START, END = "<|im_start|>", "<|im_end|>"
 _CONTROL = re.compile(r"<(\\*)\|(im_start|im_end)\|>")
@@ -123,7 +123,7 @@ def format_turns(conversations: DataFrame) -> DataFrame:
                 "mask_start": pa.array(first, pa.int64()),
                 "mask_end": pa.array(last, pa.int64())})
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def in_order(turns: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def read_back(turns: DataFrame) -> DataFrame:
         if tally is not None:
             yield out([tally.row()])
 
-    return in_order(turns).mapInArrow(run, schema)
+    return in_order(turns).mapInArrow(tidy(run), schema)
 
 
 def op3_chat_formatting(conversations_table: DataFrame) -> DataFrame:

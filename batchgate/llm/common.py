@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -81,3 +84,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def give_back() -> None:
+    """Return freed memory of this Python worker to the machine; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """A task's function over batches that leaves little memory behind in its worker."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return wrapped

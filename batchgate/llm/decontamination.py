@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import fresh, quoted, staged
+from batchgate.llm.common import fresh, quoted, staged, tidy
 from batchgate.llm.packing import text_chunks
 
 # Bounds what is broadcast and what a Python worker builds from it; one item is never divided.
@@ -251,7 +251,7 @@ def _with_hits(rows: DataFrame, items: list, window: int) -> DataFrame:
                                           for _, i in hits], pa.list_(pa.string()))})
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text string, {_HITS}")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, text string, {_HITS}")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
@@ -347,7 +347,7 @@ def _cleaned(docs: DataFrame, items: list, window: int, max_coverage: float,
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}"
                        for f in docs.schema) + f", `{gone}` boolean"
-    return docs.mapInArrow(run, schema).where(~F.col(gone)).drop(gone)
+    return docs.mapInArrow(tidy(run), schema).where(~F.col(gone)).drop(gone)
 
 
 def op7_benchmark_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

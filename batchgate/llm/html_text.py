@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import bounded_sample, fresh, quoted
+from batchgate.llm.common import bounded_sample, fresh, quoted, tidy
 from batchgate.llm.packing import text_chunks
 
 SAMPLE_PAGES, SAMPLE_CHARS = 512, 65_536
@@ -224,7 +224,7 @@ def extract(pages: DataFrame, weights: dict[str, float], html_col: str = "html")
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}"
                        for f in pages.schema)
-    return pages.mapInArrow(run, f"{schema}, `{name}` string")
+    return pages.mapInArrow(tidy(run), f"{schema}, `{name}` string")
 
 
 def op2_html_extraction(pages: DataFrame) -> DataFrame:

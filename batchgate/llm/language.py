@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import fresh, quoted, staged
+from batchgate.llm.common import fresh, quoted, staged, tidy
 from batchgate.llm.packing import text_chunks
 
 UNKNOWN = "und"
@@ -145,7 +145,7 @@ def _classes_of_text(rows: DataFrame, model) -> DataFrame:
                     [batch.column("host"), batch.column("declared"),
                      pa.array(best.astype(np.int32))], ["host", "declared", "k"])
 
-    return rows.mapInArrow(run, "host string, declared string, k int")
+    return rows.mapInArrow(tidy(run), "host string, declared string, k int")
 
 
 def _declared_evidence(counts: list, classes: list[str]) -> dict[str, list[float]]:
@@ -247,7 +247,7 @@ def identify(docs: DataFrame, text_col: str = "text", declared_col: str = "lang"
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}"
                        for f in docs.schema)
     return joined.mapInArrow(
-        run, schema + "".join(f", `{n}` {k}" for n, k in zip(names.values(), kinds)))
+        tidy(run), schema + "".join(f", `{n}` {k}" for n, k in zip(names.values(), kinds)))
 
 
 def op8_language_id(docs: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import fresh, quoted, staged
+from batchgate.llm.common import fresh, quoted, staged, tidy
 from batchgate.llm.membership import bit_array, may_hold, spot
 from batchgate.llm.packing import text_chunks
 
@@ -104,7 +104,7 @@ def line_hashes(docs: DataFrame, text_col: str, min_tokens: int) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in columns], names)
 
     return _texts(docs, text_col).withColumn("doc", F.xxhash64("text")).mapInArrow(
-        run, ", ".join(f"{n} long" for n in names)).distinct()
+        tidy(run), ", ".join(f"{n} long" for n in names)).distinct()
 
 
 def recurring(lines: DataFrame, key: str, min_docs: int, diversity: float) -> DataFrame:
@@ -150,9 +150,9 @@ def _open_lines(docs: DataFrame, text_col: str, leaves: DataFrame, min_tokens: i
             yield batch.filter(pa.array(hit, pa.bool_()))
 
     every = _texts(docs, text_col).mapInArrow(
-        lines, "leaf long, line long, tokens array<string>")
+        tidy(lines), "leaf long, line long, tokens array<string>")
     return every.select("leaf", "line", "tokens", spot("leaf").alias("p")).mapInArrow(
-        fitting, "leaf long, line long, tokens array<string>, p long").drop("p")
+        tidy(fitting), "leaf long, line long, tokens array<string>, p long").drop("p")
 
 
 def templates(open_lines: DataFrame, per_line: DataFrame, min_docs: int,
@@ -238,7 +238,7 @@ def without_templates(docs: DataFrame, text_col: str = "text", **limits) -> Data
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}"
                        for f in docs.schema)
-    return joined.mapInArrow(run, schema + "".join(f", `{n}` long" for n in names))
+    return joined.mapInArrow(tidy(run), schema + "".join(f", `{n}` long" for n in names))
 
 
 def op5_line_dedup(docs: DataFrame) -> DataFrame:

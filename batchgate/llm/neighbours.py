@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import bounded_sample, quoted, staged
+from batchgate.llm.common import bounded_sample, quoted, staged, tidy
 
 SAMPLE_ROWS = 32_768
 SEED_ROWS = 4_096
@@ -186,9 +186,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, probes: int | No
                  pa.array(np.array(bound)[again]), pa.array(near, seeds_type)],
                 ["list", "id", "vector", "bound", "near"])
 
-    rows = vectors.select("vec_id", "vector").mapInArrow(assign, f"list int, id long, vector {kind}")
+    rows = vectors.select("vec_id", "vector").mapInArrow(tidy(assign), f"list int, id long, vector {kind}")
     asked = queries.select("vec_id", "vector").mapInArrow(
-        probe, f"list int, id long, vector {kind}, bound double, "
+        tidy(probe), f"list int, id long, vector {kind}, bound double, "
                "near array<struct<id: long, score: double>>")
     rows, asked = staged(rows), staged(asked)
 
@@ -234,7 +234,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, probes: int | No
                      pa.array(columns[2], pa.float64())], ["query_id", "vec_id", "score"])
 
     scanned = met.select("rows", "asked").mapInArrow(
-        compare, "query_id long, vec_id long, score double")
+        tidy(compare), "query_id long, vec_id long, score double")
     seeds = asked.select(F.col("id").alias("query_id"), F.explode("near").alias("s")).select(
         "query_id", F.col("s.id").alias("vec_id"), F.col("s.score").alias("score"))
     found = scanned.unionByName(seeds).groupBy("query_id", "vec_id").agg(

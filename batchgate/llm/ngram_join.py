@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import mixed, quoted, staged
+from batchgate.llm.common import mixed, quoted, staged, tidy
 from batchgate.llm.components import components
 from batchgate.llm.membership import bit_array, may_hold, spot
 from batchgate.llm.packing import text_chunks
@@ -175,7 +175,7 @@ def summaries(rows: DataFrame, bits: int, n: int) -> DataFrame:
                  pa.array([p.tobytes() for p in parts], pa.binary())], schema=schema)
 
     return rows.mapInArrow(
-        run, f"doc_id {kind}, n_grams long, class long, part int, counters binary")
+        tidy(run), f"doc_id {kind}, n_grams long, class long, part int, counters binary")
 
 
 def levels(parts: DataFrame, bits: int) -> np.ndarray:
@@ -203,7 +203,7 @@ def levels(parts: DataFrame, bits: int) -> np.ndarray:
             yield out()
 
     summed = (parts.repartition("part").sortWithinPartitions("part")
-              .mapInArrow(add, "part int, level binary"))
+              .mapInArrow(tidy(add), "part int, level binary"))
     out = np.zeros(1 << bits, np.uint8)
     for row in summed.toLocalIterator():
         out[row.part * width:(row.part + 1) * width] = np.frombuffer(row.level, np.uint8)
@@ -266,7 +266,7 @@ def prefix_blocks(rows: DataFrame, level, bits: int, buckets: int, n: int, perce
         if held:
             yield flush()
 
-    return rows.mapInArrow(run, _BLOCK)
+    return rows.mapInArrow(tidy(run), _BLOCK)
 
 
 def shared_tokens(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -332,7 +332,7 @@ def class_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                         ["class", "n", "ranges", "grams"])
 
     keyed = rows.select("doc_id", "text", spot("doc_id").alias("p"))
-    return keyed.mapInArrow(run, "class long, n long, ranges binary, grams binary")
+    return keyed.mapInArrow(tidy(run), "class long, n long, ranges binary, grams binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -367,9 +367,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     close = staged(both(["n", "ranges"], pairs).select("a", "b", "a_n", "b_n", "a_ranges",
                                                        "b_ranges")
-                   .mapInArrow(suffix, "a long, b long").distinct())
+                   .mapInArrow(tidy(suffix), "a long, b long").distinct())
     return staged(both(["grams"], close).select("a", "b", "a_grams", "b_grams")
-                  .mapInArrow(compare, "a long, b long").distinct())
+                  .mapInArrow(tidy(compare), "a long, b long").distinct())
 
 
 def _common(grams: np.ndarray, tokens: np.ndarray, owners: np.ndarray, many: int) -> np.ndarray:
@@ -440,7 +440,7 @@ def block_links(entries: DataFrame, sets: DataFrame, percent: int,
                 [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return staged(both.select("x_sets", "y_sets").mapInArrow(
-        run, "a long, b long").distinct())
+        tidy(run), "a long, b long").distinct())
 
 
 def jaccard_links(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT,

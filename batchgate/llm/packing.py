@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import CHUNK_BYTES, mixed, quoted, running_offsets, staged
+from batchgate.llm.common import CHUNK_BYTES, mixed, quoted, running_offsets, staged, tidy
 
 ROUNDS = 20
 ETA = 24.0
@@ -233,7 +233,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, separator: int
                 yield pa.RecordBatch.from_pydict(columns)
 
     return source.mapInArrow(
-        run, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, task int, "
+        tidy(run), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, task int, "
              "place long" + ", ids array<int>" * with_ids)
 
 
@@ -403,7 +403,7 @@ def pack(cut_pieces: DataFrame, capacity: int = 2048) -> DataFrame:
                 | {"sequence_id": pa.array(sequence), "offset": pa.array(offset)})
 
     return ranked.select(*columns, "place").mapInArrow(
-        deal, f"{schema}, sequence_id long, offset long")
+        tidy(deal), f"{schema}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame, capacity: int = 2048) -> DataFrame:

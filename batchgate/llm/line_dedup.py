@@ -5,20 +5,28 @@ tokens that hold digits as variables.  Within a leaf, a token that stands at its
 lines of ``min_docs`` documents or more is constant and every other one is variable; a line's
 template is its constants in their places.  Templates that recur across documents are dropped.
 
-A template *recurs* if it occurs in ``min_docs`` or more different texts and in changing company:
-the lines before it, and those after it, fall into at least ``min_docs`` different leaves, and at
-least ``diversity`` as many as there are texts.  Lines that are shared because whole documents are copies of each other keep
-their neighbours and stay; such documents are the business of near-duplicate removal.  The start
-and end of a text count as a neighbour of its own; a text of one line has no company, so it is
-neither counted nor dropped.
+A template *recurs* if it occurs in ``min_docs`` or more different texts and either of these holds:
+
+* It stands in changing company: the lines before it, and those after it, fall into at least
+  ``min_docs`` different leaves, and at least ``diversity`` as many as there are texts.
+* ``min_docs`` of its texts are unrelated: the Jaccard similarity of the pieces of PIECE bytes of
+  any two is below RELATED, as estimated from the SKETCH smallest hashes of either.  Passages of
+  several lines recur by this, and copies of some of the texts do not change it.
+
+Lines that only near copies share stay; such documents are the business of near-duplicate removal.
+The start and end of a text count as a neighbour of its own; a text of one line has no company,
+so it is neither counted nor dropped.
 
 All of it is counting, so a line that is in a third of all documents is one partial sum per task:
 
 1. Every line gives four hashes: leaf, masked line, leaf before, leaf behind; and its text's hash.
+   Every text gives its sketch.
 2. Masked lines that recur as they are need no tree.
 3. In leaves that enough texts share, the tokens of the other lines are counted by position; lines
    whose constants make up ``agreement`` of them get a template, and templates are counted alike.
-4. The lines found are joined to the texts they are in and cut out there; the join is a shuffle
+4. Unrelated texts of a line are found one by one: the text with the smallest hash, of the texts
+   unrelated to it the one with the smallest hash, and so on up to ``min_docs``.
+5. The lines found are joined to the texts they are in and cut out there; the join is a shuffle
    at every size.
 
 Cases: lines of fewer than ``min_tokens`` tokens are never dropped, but are neighbours; null and
@@ -33,8 +41,9 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchgate.llm.common import fresh, quoted, staged, tidy
@@ -44,6 +53,9 @@ from batchgate.llm.packing import text_chunks
 LEADING = 3
 MIN_TOKENS, MIN_DOCS = 3, 3
 DIVERSITY, AGREEMENT = 0.3, 0.6
+# Texts that share more than half of their words are related.
+RELATED = 0.4
+SKETCH, PIECE = 64, 32
 VARIABLE = "<*>"
 _DIGIT = re.compile(r"\d")
 
@@ -79,12 +91,43 @@ def parsed(text: str) -> list[tuple[int, int, int, int, int, list[str]]]:
             for i, (k, t) in enumerate(lines)]
 
 
+# Digits are variables.
+_FOLD = np.array([48 if 48 <= b <= 57 else b for b in range(256)], np.uint32)
+
+
+def sketch(text: str) -> np.ndarray:
+    """The SKETCH smallest hashes of a text's pieces of PIECE bytes, in order."""
+    raw = text.encode().ljust(PIECE)
+    out = np.zeros(0, np.int32)
+    for at in range(0, len(raw) - PIECE + 1, 1 << 20):
+        h = _FOLD[np.frombuffer(raw, np.uint8, min(len(raw) - at, (1 << 20) + PIECE - 1), at)]
+        width = 1
+        while width < PIECE:
+            h = (h[:-width] * np.uint32(0x9E3779B1) ^ h[width:]) * np.uint32(0x85EBCA6B)
+            h ^= h >> np.uint32(15)
+            width *= 2
+        h = (h >> np.uint32(1)).astype(np.int32)
+        low = np.unique(h[h < (1 << 31) * min(1.0, 4 * SKETCH / len(h))])
+        low = low if len(low) >= SKETCH else np.unique(h)
+        out = np.unique(np.append(out, low[:SKETCH]))[:SKETCH]
+    return out
+
+
+def related(a: Column, b: Column) -> Column:
+    """Estimated Jaccard similarity of two sketches' texts."""
+    both = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    return F.size(F.array_intersect(F.array_intersect(both, a), b)) / F.size(both)
+
+
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(quoted(text_col).cast("string").alias("text")).where("text is not null")
 
 
 def line_hashes(docs: DataFrame, text_col: str, min_tokens: int) -> DataFrame:
-    """leaf, line, doc, before, behind of all lines that may be dropped; doc is the text's hash."""
+    """leaf, line, doc, before, behind of all lines that may be dropped; doc is the text's hash.
+
+    Texts with such lines have another row of their doc and sketch, without a line.
+    """
     names = ["leaf", "line", "doc", "before", "behind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,21 +139,26 @@ def line_hashes(docs: DataFrame, text_col: str, min_tokens: int) -> DataFrame:
                                      batch.column("doc").to_pylist()):
                     if doc not in seen:
                         seen.add(doc)
-                        rows += [(leaf, line, doc, before, behind) for
-                                 _, leaf, line, before, behind, t in parsed(text)
-                                 if len(t) >= min_tokens]
-                columns = zip(*rows) if rows else [()] * 5
+                        own = [(leaf, line, doc, before, behind, None) for
+                               _, leaf, line, before, behind, t in parsed(text)
+                               if len(t) >= min_tokens]
+                        if own:
+                            rows += [*own, (None, None, doc, None, None, sketch(text))]
+                columns = list(zip(*rows)) if rows else [()] * 6
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names)
+                    [*(pa.array(c, pa.int64()) for c in columns[:5]),
+                     pa.array(columns[5], pa.list_(pa.int32()))], [*names, "sketch"])
 
     return _texts(docs, text_col).withColumn("doc", F.xxhash64("text")).mapInArrow(
-        tidy(run), ", ".join(f"{n} long" for n in names)).distinct()
+        tidy(run), ", ".join(f"{n} long" for n in names) + ", sketch array<int>").distinct()
 
 
-def recurring(lines: DataFrame, key: str, min_docs: int, diversity: float) -> DataFrame:
-    """Keys that occur in enough texts and in changing company.
+def recurring(lines: DataFrame, sketches: DataFrame, key: str, min_docs: int,
+              diversity: float) -> DataFrame:
+    """Keys that occur in enough texts, and in changing company or in unrelated texts.
 
-    Three counts of distinct pairs, each combined before its shuffle.
+    Three counts of distinct pairs, each combined before its shuffle.  Only the other keys of
+    enough texts meet sketches.
     """
     counts = None
     for column in ("doc", "before", "behind"):
@@ -120,8 +168,16 @@ def recurring(lines: DataFrame, key: str, min_docs: int, diversity: float) -> Da
             counts = one.where(F.col("n_doc") >= min_docs)
         else:
             counts = counts.join(one, key)
+    counts = staged(counts)
     enough = F.greatest(F.lit(min_docs), diversity * F.col("n_doc"))
-    return counts.where((F.col("n_before") >= enough) & (F.col("n_behind") >= enough)).select(key)
+    changing = (F.col("n_before") >= enough) & (F.col("n_behind") >= enough)
+    left = staged(lines.join(counts.where(~changing).select(key), key).select(
+        key, "doc").distinct().join(sketches.hint("merge"), "doc"))
+    for _ in range(min_docs - 1):
+        one = left.groupBy(key).agg(F.min_by("sketch", "doc").alias("other"))
+        left = staged(left.join(one, key).where(
+            related(F.col("sketch"), F.col("other")) < RELATED).drop("other"))
+    return counts.where(changing).select(key).unionByName(left.select(key).distinct())
 
 
 def _open_lines(docs: DataFrame, text_col: str, leaves: DataFrame, min_tokens: int) -> DataFrame:
@@ -177,8 +233,10 @@ def template_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_
                    min_tokens: int = MIN_TOKENS, diversity: float = DIVERSITY,
                    agreement: float = AGREEMENT) -> DataFrame:
     """doc (hash of a text) and line (hash of a masked line) of all lines to drop."""
-    lines = staged(line_hashes(docs, text_col, min_tokens))
-    exact = staged(recurring(lines, "line", min_docs, diversity))
+    hashes = staged(line_hashes(docs, text_col, min_tokens))
+    lines = hashes.where("line is not null").drop("sketch")
+    sketches = hashes.where("line is null").select("doc", "sketch")
+    exact = staged(recurring(lines, sketches, "line", min_docs, diversity))
     others = lines.join(exact, "line", "left_anti")
     # Leaves that several different lines and enough texts share.
     leaves = staged(others.select("leaf", "line", "doc").distinct().groupBy("leaf").agg(
@@ -189,7 +247,7 @@ def template_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_
     named = staged(templates(_open_lines(docs, text_col, leaves, min_tokens), per_line, min_docs,
                              agreement))
     alike = others.join(named, "line")
-    found = recurring(alike, "template", min_docs, diversity)
+    found = recurring(alike, sketches, "template", min_docs, diversity)
     generalised = named.join(found, "template", "left_semi").select("line")
     return lines.join(staged(exact.unionByName(generalised).distinct()), "line",
                       "left_semi").select("doc", "line").distinct()

@@ -174,7 +174,8 @@ def recurring(lines: DataFrame, sketches: DataFrame, key: str, min_docs: int,
     left = staged(lines.join(counts.where(~changing).select(key), key).select(
         key, "doc").distinct().join(sketches.hint("merge"), "doc"))
     for _ in range(min_docs - 1):
-        one = left.groupBy(key).agg(F.min_by("sketch", "doc").alias("other"))
+        # Staged, so that the join with a hot key's rows need not be dealt like the aggregation.
+        one = staged(left.groupBy(key).agg(F.min_by("sketch", "doc").alias("other")))
         left = staged(left.join(one, key).where(
             related(F.col("sketch"), F.col("other")) < RELATED).drop("other"))
     return counts.where(changing).select(key).unionByName(left.select(key).distinct())

@@ -27,3 +27,14 @@ def test_near_copies_keep_what_they_share(spark):
             for k in range(20)]
     got = cut(spark, near)
     assert all(got[k] == text for k, text in enumerate(near))
+
+
+def test_near_copies_of_one_text_do_not_save_a_line(spark):
+    licence = "All rights reserved by the makers"
+    own = [prose(k) for k in range(12)]
+    base = prose(99, 20)
+    near = ["\n".join([*base[:k % 19 + 1], f"{WORDS[k]} {WORDS[k + 70]} {WORDS[k + 140]}",
+                       *base[k % 19 + 2:], licence, "The End."]) for k in range(60)]
+    got = cut(spark, ["\n".join([*p[:3], licence, *p[3:]]) for p in own] + near)
+    assert all(got[k] == "\n".join(p) for k, p in enumerate(own))
+    assert all(got[12 + k] == text.replace(licence + "\n", "") for k, text in enumerate(near))

@@ -2,8 +2,10 @@
 
 Lines are parsed into a tree of fixed depth: token count, then the leading LEADING tokens, with
 tokens that hold digits as variables.  Within a leaf, a token that stands at its position in
-lines of ``min_docs`` documents or more is constant and every other one is variable; a line's
-template is its constants in their places.  Templates that recur across documents are dropped.
+lines of enough documents is constant and every other one is variable; a line's template is its
+constants in their places.  Enough is ``min_docs``, and twice, four times, ... as many: a line has
+a template for each of these levels, so that names that are frequent in a large table are variable
+beside words that are in every line.  Templates that recur across documents are dropped.
 
 A template *recurs* if it occurs in ``min_docs`` or more different texts and either of these holds:
 
@@ -214,7 +216,7 @@ def _open_lines(docs: DataFrame, text_col: str, leaves: DataFrame, min_tokens: i
 
 def templates(open_lines: DataFrame, per_line: DataFrame, min_docs: int,
               agreement: float) -> DataFrame:
-    """line and template, for lines of leaves in question that have variable tokens.
+    """line and template, for lines of leaves in question that have variable tokens at some level.
 
     ``per_line`` has the leaf, the line and its number of texts for exactly these lines.
     """
@@ -222,11 +224,17 @@ def templates(open_lines: DataFrame, per_line: DataFrame, min_docs: int,
     kept = staged(open_lines.join(per_line, ["leaf", "line"]).dropDuplicates(["leaf", "line"]))
     tokens = kept.select("leaf", "line", "docs", F.size("tokens").alias("n"), token)
     constant = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("d")).where(
-        F.col("d") >= min_docs).select("leaf", "at", "token")
+        F.col("d") >= min_docs).select(
+        "leaf", "at", "token", F.floor(F.log2(F.col("d") / min_docs)).cast("int").alias("level"))
     own = tokens.join(constant, ["leaf", "at", "token"]).groupBy("leaf", "line", "n").agg(
-        F.sort_array(F.collect_list(F.struct("at", "token"))).alias("c"))  # one line's tokens
+        F.sort_array(F.collect_list(F.struct("at", "token", "level"))).alias("c"))  # one line's
+    each = own.select("leaf", "line", "n", "c", F.explode(
+        F.array_distinct(F.transform("c", lambda x: x.level))).alias("from")).select(
+        "leaf", "line", "n", F.transform(
+            F.filter("c", lambda x: x.level >= F.col("from")),
+            lambda x: F.struct(x.at.alias("at"), x.token.alias("token"))).alias("c"))
     size = F.size("c")
-    return own.where((size < F.col("n")) & (size >= agreement * F.col("n"))).select(
+    return each.where((size < F.col("n")) & (size >= agreement * F.col("n"))).select(
         "line", F.xxhash64("leaf", "n", F.to_json("c")).alias("template"))
 
 

@@ -38,3 +38,11 @@ def test_near_copies_of_one_text_do_not_save_a_line(spark):
     got = cut(spark, ["\n".join([*p[:3], licence, *p[3:]]) for p in own] + near)
     assert all(got[k] == "\n".join(p) for k, p in enumerate(own))
     assert all(got[12 + k] == text.replace(licence + "\n", "") for k, text in enumerate(near))
+
+
+def test_frequent_names_are_variable_in_a_busy_leaf(spark):
+    own = [prose(k) for k in range(36)]
+    by = [f"Posted by the user {WORDS[k % 12]} from {WORDS[100 + (k + k // 12) % 12]}"
+          for k in range(36)]
+    got = cut(spark, ["\n".join([*p[:3], b, *p[3:]]) for p, b in zip(own, by)])
+    assert all(got[k] == "\n".join(p) for k, p in enumerate(own))

@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchgate.llm.common import fresh, quoted, staged, tidy
@@ -115,22 +115,23 @@ def fit_text_model(docs: DataFrame, text_col: str, declared_col: str) -> TextMod
     rows = docs.select(primary(quoted(declared_col)).alias("l"),
                        quoted(text_col).cast("string").alias("text")).where(
         "l is not null and text is not null")
-    counts = rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(
-        MAX_LANGUAGES).collect()
+    # Copies of a text count once for the rate, or they would pass or fail together.
+    counts = rows.select("l", F.xxhash64("text").alias("h")).groupBy("l").agg(
+        F.count("*").alias("rows"), F.count_distinct("h").alias("n")).orderBy(
+        F.desc("rows"), "l").limit(MAX_LANGUAGES).collect()
     if not counts:
         return TextModel()
-    # Each language's rows pass with the rate that leaves about TRAIN_ROWS.
+    # Each language's texts pass with the rate that leaves about TRAIN_ROWS.
     rates = F.create_map(*[F.lit(x) for r in counts
                            for x in (r.l, min(1.0, 1.2 * TRAIN_ROWS / r.n))])
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)
     chosen = rows.where((F.length("text") <= TRAIN_CHARS) & (
-        place < F.try_element_at(rates, F.col("l")))).orderBy(
-        F.xxhash64("text", F.lit(1)), "text", "l").limit(TRAIN_ROWS * len(counts) * 2)
+        place < F.try_element_at(rates, F.col("l")))).distinct()
+    order = Window.partitionBy("l").orderBy(F.xxhash64("text", F.lit(1)), "text")
     samples: dict[str, list[str]] = {}
-    for r in chosen.collect():
-        own = samples.setdefault(r.l, [])
-        if len(own) < TRAIN_ROWS:
-            own.append(r.text)
+    for r in chosen.withColumn("k", F.row_number().over(order)).where(
+            F.col("k") <= TRAIN_ROWS).orderBy("l", "k").collect():
+        samples.setdefault(r.l, []).append(r.text)
     return TextModel.fit(samples)
 
 

@@ -117,11 +117,14 @@ def scan(query: np.ndarray, turned: np.ndarray, block: np.ndarray, block_turned:
     """Rows of a block, of those in ``alive``, that the tests do not abandon."""
     size = len(turned)
     partial = np.zeros(len(alive))
+    # Equal vectors may be rotated differently in their last bits.
+    reach = bound + 4 * size * np.finfo(np.float64).eps * (
+        2 * np.sqrt((turned ** 2).sum()) + bound)
     for a in range(0, size, COLUMNS):
         b = min(size, a + COLUMNS)
         partial += ((block_turned[alive, a:b] - turned[a:b]) ** 2).sum(axis=1)
         if b < size and np.isfinite(bound):
-            keep = partial <= bound ** 2 * (b / size) * (1 + CONFIDENCE / np.sqrt(b)) ** 2
+            keep = partial <= reach ** 2 * (b / size) * (1 + CONFIDENCE / np.sqrt(b)) ** 2
             alive, partial = alive[keep], partial[keep]
             if not len(alive):
                 break

@@ -74,6 +74,7 @@ _TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(
     r"""\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_CLOSING = {name: re.compile("</" + name, re.I | re.A) for name in RAW}
 _WORDS_IN_NAME = re.compile(r"[A-Za-z]+")
 
 
@@ -102,7 +103,7 @@ def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """(tag key or "" for text, text, boilerplate, inside an article) in page order."""
     stack: list[tuple[str, bool, bool]] = []  # element, boilerplate from here on, in an article
-    at, lower = 0, None
+    at = 0
 
     def state():
         return stack[-1][1:] if stack else (False, False)
@@ -139,10 +140,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         boilerplate = boilerplate or _is_boilerplate(name, m[3], article)
         yield name, "", boilerplate, article
         if name in RAW:
-            if lower is None:
-                lower = page.lower() if len(page.lower()) == len(page) else page
-            end = lower.find("</" + name, at)
-            at = len(page) if end < 0 else end
+            end = _CLOSING[name].search(page, at)
+            at = len(page) if end is None else end.start()
             closing = page.find(">", at)
             at = len(page) if closing < 0 else closing + 1
         elif name not in VOID and not m[3].endswith("/"):

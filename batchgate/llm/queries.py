@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from batchgate.llm import (chat, decontamination, html_text, language, line_dedup, neighbours,
-                           ngram_join, packing, sharding, url_filter)
+                           ngram_join, packing, phrases, sharding, url_filter)
 from batchgate.llm.common import ARROW_ROWS
 from batchgate.llm.common import table as read
 
@@ -62,11 +62,15 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.op10_nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.op11_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_html_extraction, op3_chat_formatting, op4_url_filters,
         op5_line_dedup, op6_sharding, op7_benchmark_decontamination, op8_language_id,
-        op9_ngram_jaccard_join, op10_nearest_neighbours)
+        op9_ngram_jaccard_join, op10_nearest_neighbours, op11_phrase_collocations)
 }
 
 # A-Z to a-z, in SQL.
@@ -126,4 +130,30 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM docs
         LEFT JOIN sizes USING (doc_id)
         JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) USING (doc_id)""",
+    "op11_phrase_collocations": f"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+          FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY 1),
+        f AS (SELECT lang, w[i:i + k - 1] AS p, count(*) AS a
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+            FROM words, (SELECT unnest(range(1, 5)) AS k) WHERE len(w) >= k) GROUP BY ALL),
+        candidates AS (SELECT * FROM f WHERE len(p) >= 2 AND a >= 30),
+        cuts AS (SELECT *, p[:k] AS x, p[k + 1:] AS y
+          FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates)),
+        scored AS (SELECT c.lang, c.p, c.a, x.a AS l, y.a AS r,
+            (2000000::HUGEINT * c.a // (x.a + y.a))::BIGINT AS score
+          FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = c.x
+          JOIN f y ON y.lang = c.lang AND y.p = c.y
+          QUALIFY row_number() OVER (PARTITION BY c.lang, c.p ORDER BY score, k) = 1),
+        held AS (SELECT lang, p[i:i + k - 1] AS p, max(a) AS a
+          FROM (SELECT *, unnest(range(1, len(p) - k + 2)) AS i
+            FROM (SELECT *, unnest(range(2, len(p))) AS k FROM candidates)) GROUP BY ALL),
+        kept AS (SELECT s.*, array_to_string(s.p, ' ') AS phrase FROM scored s
+          LEFT JOIN held h ON h.lang = s.lang AND h.p = s.p
+          WHERE h.a IS NULL OR 100 * h.a < 80 * s.a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+            AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from batchgate.llm import (chat, decontamination, html_text, language, line_dedup, neighbours,
-                           ngram_join, packing, phrases, sharding, url_filter)
+                           ngram_join, packing, phrases, prefix_trie, sharding, url_filter)
 from batchgate.llm.common import ARROW_ROWS
 from batchgate.llm.common import table as read
 
@@ -66,11 +66,16 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.op11_phrases(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.op12_prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_html_extraction, op3_chat_formatting, op4_url_filters,
         op5_line_dedup, op6_sharding, op7_benchmark_decontamination, op8_language_id,
-        op9_ngram_jaccard_join, op10_nearest_neighbours, op11_phrase_collocations)
+        op9_ngram_jaccard_join, op10_nearest_neighbours, op11_phrase_collocations,
+        op12_prefix_trie)
 }
 
 # A-Z to a-z, in SQL.
@@ -156,4 +161,35 @@ ORACLES: dict[str, str] = {
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
             AS rank, phrase, a, l, r, n, score
         FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
+    # crc32 bit by bit; a conversation is the list of its turns, a node one of its beginnings.
+    "op12_prefix_trie": """
+        WITH own AS (SELECT conv_id AS c, list({'role': coalesce(role, ''),
+              'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''),
+              coalesce(text, '')) AS t
+          FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+        crc AS (SELECT c, t, (xor(4294967295, list_reduce(
+              list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''),
+                lambda s: ascii(s)::BIGINT)),
+              lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)),
+                lambda y, k: xor(y >> 1, (y & 1) * 3988292384)))) % 6) AS h FROM own),
+        rebuilt AS (SELECT a.c, list_concat(coalesce(b.t, [])[1:a.h], a.t[a.h + 1:]) AS t
+          FROM crc a LEFT JOIN own b ON b.c = a.c - a.c % 100),
+        paths AS (SELECT c, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt),
+        members AS (SELECT c, d, t[1:d] AS p, d = len(t) AS ends FROM paths),
+        nodes AS (SELECT p, d, min(c) AS conv_id, count(*) AS n_convs,
+            sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), ''))
+              AS ends_sha256,
+            CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * length(p[d].text) END AS w
+          FROM members GROUP BY p, d),
+        linked AS (SELECT n.*, q.conv_id AS parent_conv_id FROM nodes n
+          LEFT JOIN nodes q ON q.d = n.d - 1 AND q.p = n.p[1:n.d - 1]),
+        counted AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM linked n
+          LEFT JOIN (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0
+            GROUP BY 1, 2) k ON k.p = n.p AND k.d = n.d),
+        above AS (SELECT p[1:e] AS p, e AS d, sum((n_children = 0)::INT)::BIGINT AS n_leaves,
+            sum(w)::BIGINT AS saved_tokens
+          FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM counted) GROUP BY 1, 2)
+        SELECT conv_id, c.d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+          ends_sha256
+        FROM counted c JOIN above a ON a.p = c.p AND a.d = c.d""",
 }

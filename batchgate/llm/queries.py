@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from batchgate.llm import (chat, decontamination, html_text, language, line_dedup, neighbours,
-                           ngram_join, packing, phrases, prefix_trie, sharding, url_filter)
+                           ngram_join, packing, personal_data, phrases, prefix_trie, sharding,
+                           url_filter)
 from batchgate.llm.common import ARROW_ROWS
 from batchgate.llm.common import table as read
 
@@ -70,12 +71,16 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.op12_prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.op13_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_html_extraction, op3_chat_formatting, op4_url_filters,
         op5_line_dedup, op6_sharding, op7_benchmark_decontamination, op8_language_id,
         op9_ngram_jaccard_join, op10_nearest_neighbours, op11_phrase_collocations,
-        op12_prefix_trie)
+        op12_prefix_trie, op13_personal_data)
 }
 
 # A-Z to a-z, in SQL.

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from decimal import Decimal, InvalidOperation
 
 import pytest
-from conftest import DAY, sample_rows
+from deliveries import DAY, sample_rows
 from pyspark.sql import functions as F
 
 from batchgate.functions.decimals import contract_decimal

@@ -5,7 +5,7 @@ import random
 from datetime import date
 
 import pytest
-from conftest import DAY, Landing, sample_rows
+from deliveries import DAY, Landing, sample_rows
 from pyspark.sql import functions as F
 
 from batchgate import BatchError, quarantine_rows, run_batch

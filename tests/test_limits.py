@@ -9,7 +9,7 @@ from batchgate.operators.contract import DEFAULT
 from batchgate.plans import store as stores
 from batchgate.sources import landing
 from batchgate.sources.normalise import land
-from conftest import DAY, Landing
+from deliveries import DAY, Landing
 
 
 def as_folder(path, names):

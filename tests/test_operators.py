@@ -8,7 +8,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import DAY, Landing, sample_rows
+from deliveries import DAY, Landing, sample_rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -22,15 +22,19 @@ so it is neither counted nor dropped.
 All of it is counting, so a line that is in a third of all documents is one partial sum per task:
 
 1. Every line gives four hashes: leaf, masked line, leaf before, leaf behind; and its text's hash.
-   Every text gives its sketch.
-2. Masked lines that recur as they are need no tree.
-3. In leaves that enough texts share, the tokens of the other lines are counted by position; lines
-   whose constants make up ``agreement`` of them get a template, and templates are counted alike.
+2. Masked lines that occur often enough need no tree.  Lines and leaves that cannot are told by
+   one count each; bit arrays of fixed size keep the others' rows, and all that follows is about
+   these few rows.
+3. A second look at the texts these rows are in gives their sketches, and the tokens of lines in
+   leaves that several lines share.  Tokens are counted by position; lines whose constants make up
+   ``agreement`` of them get a template, and templates are counted alike.
 4. Unrelated texts of a line are found one by one: the text with the smallest hash, of the texts
    unrelated to it the one with the smallest hash, and so on up to ``min_docs``.
 5. The lines found are joined to the texts they are in and cut out there; the join is a shuffle
    at every size.
 
+Scripts that are written without spaces have tokens of two characters.
+
 Cases: lines of fewer than ``min_tokens`` tokens are never dropped, but are neighbours; null and
 empty texts stay as they are; equal texts count once and lose the same lines; a text that has
 nothing but white space left after losing lines is empty; an empty table gives an empty result;
@@ -49,7 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchgate.llm.common import fresh, quoted, staged, tidy
-from batchgate.llm.membership import bit_array, may_hold, spot
+from batchgate.llm.membership import BITS, bit_array, may_hold, own_spot
 from batchgate.llm.packing import text_chunks
 
 LEADING = 3
@@ -62,9 +66,24 @@ VARIABLE = "<*>"
 _DIGIT = re.compile(r"\d")
 
 
+# Thai to Khmer, kana and Han: scripts without spaces between words.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff"
+                       "\uf900-\ufaff\U00020000-\U0003ffff]+")
+
+
+def _spaced(line: str) -> str:
+    """A line with spaces around every two characters of a script without them."""
+    try:
+        line.encode("latin-1")
+        return line
+    except UnicodeEncodeError:
+        return _UNSPACED.sub(lambda m: " " + " ".join(
+            m[0][k:k + 2] for k in range(0, len(m[0]), 2)) + " ", line)
+
+
 def masked(line: str) -> list[str]:
     """The tokens of a line; those with digits are variables."""
-    tokens = line.split()
+    tokens = (line if line.isascii() else _spaced(line)).split()
     if _DIGIT.search(line):
         return [VARIABLE if _DIGIT.search(t) else t for t in tokens]
     return tokens
@@ -128,7 +147,7 @@ def _texts(docs: DataFrame, text_col: str) -> DataFrame:
 def line_hashes(docs: DataFrame, text_col: str, min_tokens: int) -> DataFrame:
     """leaf, line, doc, before, behind of all lines that may be dropped; doc is the text's hash.
 
-    Texts with such lines have another row of their doc and sketch, without a line.
+    A text that several tasks meet gives its rows several times.
     """
     names = ["leaf", "line", "doc", "before", "behind"]
 
@@ -141,18 +160,68 @@ def line_hashes(docs: DataFrame, text_col: str, min_tokens: int) -> DataFrame:
                                      batch.column("doc").to_pylist()):
                     if doc not in seen:
                         seen.add(doc)
-                        own = [(leaf, line, doc, before, behind, None) for
-                               _, leaf, line, before, behind, t in parsed(text)
-                               if len(t) >= min_tokens]
-                        if own:
-                            rows += [*own, (None, None, doc, None, None, sketch(text))]
-                columns = list(zip(*rows)) if rows else [()] * 6
+                        rows += [(leaf, line, doc, before, behind) for
+                                 _, leaf, line, before, behind, t in parsed(text)
+                                 if len(t) >= min_tokens]
+                columns = list(zip(*rows)) if rows else [()] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], names)
+
+    return _texts(docs, text_col).withColumn("doc", F.xxhash64("text")).mapInArrow(
+        tidy(run), ", ".join(f"{n} long" for n in names))
+
+
+def held_rows(lines: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Distinct lines whose key is wanted, by a bit array first."""
+    bits = lines.sparkSession.sparkContext.broadcast(bit_array(wanted, key, own_spot))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = may_hold(bits.value, batch.column(key).to_numpy() % BITS + 1)
+            yield batch.filter(pa.array(hit, pa.bool_()))
+
+    some = lines.mapInArrow(tidy(run), lines.schema)
+    return some.distinct().join(wanted.select(key).hint("merge"), key, "left_semi")
+
+
+def second_look(docs: DataFrame, text_col: str, in_question: DataFrame, leaves: DataFrame,
+                min_tokens: int) -> DataFrame:
+    """Of texts in question (and of some others): a row of doc and sketch, and rows of leaf, line
+    and tokens for the lines in the leaves."""
+    held = docs.sparkSession.sparkContext.broadcast(
+        (bit_array(in_question, "doc", own_spot), bit_array(leaves, "leaf", own_spot), min_tokens))
+    schema = pa.schema([("doc", pa.int64()), ("sketch", pa.list_(pa.int32())),
+                        ("leaf", pa.int64()), ("line", pa.int64()),
+                        ("tokens", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, open_leaves, least = held.value
+        seen: set[int] = set()
+        known: set[int] = set()
+        for whole in batches:
+            hit = may_hold(texts, whole.column("doc").to_numpy() % BITS + 1)
+            for batch in text_chunks(whole.filter(pa.array(hit, pa.bool_())), "text", 1 << 20):
+                rows = []
+                for text, doc in zip(batch.column("text").to_pylist(),
+                                     batch.column("doc").to_pylist()):
+                    if doc in seen:
+                        continue
+                    seen.add(doc)
+                    rows.append((doc, sketch(text), None, None, None))
+                    lines = [t for t in map(masked, text.split("\n")) if t]
+                    lines = [t for t in lines if len(t) >= least] if len(lines) > 1 else []
+                    own = np.array([leaf_of(t) for t in lines], np.int64)
+                    for k in np.flatnonzero(may_hold(open_leaves, own % BITS + 1)).tolist():
+                        line = number(*lines[k])
+                        if line not in known:
+                            known.add(line)
+                            rows.append((None, None, int(own[k]), line, lines[k]))
+                columns = zip(*rows) if rows else [()] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.int64()) for c in columns[:5]),
-                     pa.array(columns[5], pa.list_(pa.int32()))], [*names, "sketch"])
+                    [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return _texts(docs, text_col).withColumn("doc", F.xxhash64("text")).mapInArrow(
-        tidy(run), ", ".join(f"{n} long" for n in names) + ", sketch array<int>").distinct()
+        tidy(run), "doc long, sketch array<int>, leaf long, line long, tokens array<string>")
 
 
 def recurring(lines: DataFrame, sketches: DataFrame, key: str, min_docs: int,
@@ -183,37 +252,6 @@ def recurring(lines: DataFrame, sketches: DataFrame, key: str, min_docs: int,
     return counts.where(changing).select(key).unionByName(left.select(key).distinct())
 
 
-def _open_lines(docs: DataFrame, text_col: str, leaves: DataFrame, min_tokens: int) -> DataFrame:
-    """Distinct lines of leaves in question (and of some others) with their tokens."""
-    held = docs.sparkSession.sparkContext.broadcast(
-        (bit_array(leaves, "leaf"), min_tokens))
-
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for whole in batches:
-            for batch in text_chunks(whole, "text", 1 << 20):
-                rows = []
-                for text in batch.column("text").to_pylist():
-                    for _, leaf, line, _, _, t in parsed(text):
-                        if len(t) >= held.value[1] and line not in seen:
-                            seen.add(line)
-                            rows.append((leaf, line, t))
-                columns = list(zip(*rows)) if rows else [(), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                     pa.array(columns[2], pa.list_(pa.string()))], ["leaf", "line", "tokens"])
-
-    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = may_hold(held.value[0], batch.column("p").to_numpy())
-            yield batch.filter(pa.array(hit, pa.bool_()))
-
-    every = _texts(docs, text_col).mapInArrow(
-        tidy(lines), "leaf long, line long, tokens array<string>")
-    return every.select("leaf", "line", "tokens", spot("leaf").alias("p")).mapInArrow(
-        tidy(fitting), "leaf long, line long, tokens array<string>, p long").drop("p")
-
-
 def templates(open_lines: DataFrame, per_line: DataFrame, min_docs: int,
               agreement: float) -> DataFrame:
     """line and template, for lines of leaves in question that have variable tokens at some level.
@@ -242,24 +280,34 @@ def template_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_
                    min_tokens: int = MIN_TOKENS, diversity: float = DIVERSITY,
                    agreement: float = AGREEMENT) -> DataFrame:
     """doc (hash of a text) and line (hash of a masked line) of all lines to drop."""
-    hashes = staged(line_hashes(docs, text_col, min_tokens))
-    lines = hashes.where("line is not null").drop("sketch")
-    sketches = hashes.where("line is null").select("doc", "sketch")
-    exact = staged(recurring(lines, sketches, "line", min_docs, diversity))
-    others = lines.join(exact, "line", "left_anti")
+    lines = staged(line_hashes(docs, text_col, min_tokens))
+    # Rows count a text several times, so these are more lines and leaves than needed.
+    often = staged(held_rows(lines, "line", staged(lines.groupBy("line").agg(
+        F.count("*").alias("n")).where(F.col("n") >= min_docs).select("line"))))
+    busy = staged(lines.groupBy("leaf").agg(
+        F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b")).where(
+        (F.col("n") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"))
+    in_leaves = staged(held_rows(lines, "leaf", busy))
+    looked = staged(second_look(docs, text_col, often.select("doc").unionByName(
+        in_leaves.select("doc")).distinct(), busy, min_tokens))
+    sketches = looked.where("doc is not null").select("doc", "sketch").dropDuplicates(["doc"])
+    open_lines = looked.where("line is not null").select("leaf", "line", "tokens")
+
+    exact = staged(recurring(often, sketches, "line", min_docs, diversity))
+    others = in_leaves.join(exact, "line", "left_anti")
     # Leaves that several different lines and enough texts share.
     leaves = staged(others.select("leaf", "line", "doc").distinct().groupBy("leaf").agg(
         F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b")).where(
         (F.col("n") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"))
     per_line = others.join(leaves, "leaf", "left_semi").select("leaf", "line", "doc").distinct(
     ).groupBy("leaf", "line").agg(F.count("*").alias("docs"))
-    named = staged(templates(_open_lines(docs, text_col, leaves, min_tokens), per_line, min_docs,
-                             agreement))
+    named = staged(templates(open_lines, per_line, min_docs, agreement))
     alike = others.join(named, "line")
     found = recurring(alike, sketches, "template", min_docs, diversity)
     generalised = named.join(found, "template", "left_semi").select("line")
-    return lines.join(staged(exact.unionByName(generalised).distinct()), "line",
-                      "left_semi").select("doc", "line").distinct()
+    return often.unionByName(in_leaves).join(
+        staged(exact.unionByName(generalised).distinct()), "line", "left_semi").select(
+        "doc", "line").distinct()
 
 
 def without_templates(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +17,14 @@ def spot(column: Column | str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(BITS)) + 1
 
 
-def bit_array(rows: DataFrame, column: str) -> np.ndarray:
+def own_spot(column: Column | str) -> Column:
+    """The place of a number that is a hash already; ``number % BITS + 1`` in Python."""
+    return F.pmod(column, F.lit(BITS)) + 1
+
+
+def bit_array(rows: DataFrame, column: str, place: Callable = spot) -> np.ndarray:
     """The array of a column's values, built by grouped aggregation."""
-    places = rows.select(spot(column).alias("p")).select(
+    places = rows.select(place(column).alias("p")).select(
         F.bitmap_bucket_number("p").alias("k"), F.bitmap_bit_position("p").alias("bit"))
     bits = np.zeros(BITS // 8, np.uint8)
     for row in places.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("m")).toLocalIterator():

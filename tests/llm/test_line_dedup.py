@@ -1,10 +1,29 @@
+import math
 from collections import Counter, defaultdict
 
+import xxhash
+
 from batchgate.llm import line_dedup as l
 
 
+def key(text):
+    """Spark's hash of a text, by which its texts are looked at in order."""
+    n = xxhash.xxh64_intdigest(text.encode(), 42)
+    return n - (n >> 63 << 64)
+
+
+def pieces(text):
+    raw = "".join("0" if c.isascii() and c.isdigit() else c for c in text).encode().ljust(l.PIECE)
+    return {raw[k:k + l.PIECE] for k in range(len(raw) - l.PIECE + 1)}
+
+
+def related(a, b):
+    a, b = pieces(a), pieces(b)
+    return len(a & b) >= l.RELATED * len(a | b)
+
+
 def brute(texts, min_docs=3, diversity=0.3, agreement=0.6, min_tokens=3):
-    """The masked lines to drop, found without any tree of tables."""
+    """The masked lines to drop, found without tables, sketches or bit arrays."""
     where = defaultdict(list)
     for text in {t for t in texts if t is not None}:
         lines = [m for m in map(l.masked, text.split("\n")) if m]
@@ -17,7 +36,16 @@ def brute(texts, min_docs=3, diversity=0.3, agreement=0.6, min_tokens=3):
 
     def recurs(places):
         n, before, behind = (len({p[k] for p in places}) for k in range(3))
-        return n >= min_docs and min(before, behind) >= max(min_docs, diversity * n)
+        if n < min_docs:
+            return False
+        if min(before, behind) >= max(min_docs, diversity * n):
+            return True
+        left = sorted({p[0] for p in places}, key=key)
+        for _ in range(min_docs - 1):
+            left = [t for t in left if not related(t, left[0])]
+            if not left:
+                return False
+        return True
 
     drop = {m for m, places in where.items() if recurs(places)}
     leaves = defaultdict(dict)
@@ -29,10 +57,12 @@ def brute(texts, min_docs=3, diversity=0.3, agreement=0.6, min_tokens=3):
         if len(lines) > 1 and sum(map(len, lines.values())) >= min_docs:
             count = Counter((k, t) for m, own in lines.items() for k, t in enumerate(m)
                             for _ in own)
+            level = {kt: int(math.log2(n / min_docs)) for kt, n in count.items() if n >= min_docs}
             for m in lines:
-                fixed = tuple((k, t) for k, t in enumerate(m) if count[k, t] >= min_docs)
-                if agreement * len(m) <= len(fixed) < len(m):
-                    groups[leaf, fixed].add(m)
+                for least in {level[kt] for kt in enumerate(m) if kt in level}:
+                    fixed = tuple(kt for kt in enumerate(m) if level.get(kt, -1) >= least)
+                    if agreement * len(m) <= len(fixed) < len(m):
+                        groups[leaf, fixed].add(m)
     for lines in groups.values():
         if recurs([p for m in lines for p in where[m]]):
             drop |= lines
@@ -90,6 +120,41 @@ def test_what_goes_and_what_stays(spark):
     assert got[21] == ""  # nothing but templates
 
 
+def test_a_line_without_spaces_recurs(spark):
+    """A notice in unrelated Chinese and Thai texts goes; a shorter one stays."""
+    notice, short = "版权所有未经许可不得转载本站内容", "目录"
+    some = []
+    for k in range(20):
+        own = ["".join(chr(0x4e00 + (k * 997 + j * 131 + i * 31) % 9000) for i in range(40))
+               for j in range(5)]
+        some.append("\n".join([*own[:2], notice, short, *own[2:]]))
+    for k in range(5):
+        own = ["".join(chr(0x0e01 + (k * 7 + j * 13 + i * i) % 45) for i in range(40))
+               for j in range(4)]
+        some.append("\n".join([*own[:2], "สงวนลิขสิทธิ์ทั้งหมด", *own[2:]]))
+    frame = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in l.op5_line_dedup(frame.repartition(3)).collect()}
+    for k, text in enumerate(some):
+        lines = text.split("\n")
+        assert got[k] == "\n".join(x for x in lines if x != notice and not x.startswith("สง"))
+
+
+def test_clashing_names_and_a_long_text_of_many_lines(spark):
+    notice = "All rights reserved by us"
+    long = "\n".join(f"{chr(97 + k % 26)} line of its own with word {'xy'[k % 2] * (k % 9973)}"[:300]
+                     if k % 100 else notice for k in range(30_000))
+    some = [*texts()[:8], long, None, long]
+    frame = spark.createDataFrame([(k, t, 7, "x", 1, 2) for k, t in enumerate(some)],
+                                  "doc_id long, text string, n_lines int, n_dropped string, "
+                                  "leaf int, line int").repartition(3)
+    got = {r.doc_id: r for r in l.without_templates(frame).collect()}
+    for k, text in enumerate(some):
+        assert (got[k].n_lines, got[k].n_dropped, got[k].leaf, got[k].line) == (7, "x", 1, 2)
+        assert got[k]["_n_lines"] == (0 if text is None else text.count("\n") + 1)
+    assert got[8].text == got[10].text and notice not in got[8].text
+    assert got[8]["_n_dropped"] >= 300
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert l.op5_line_dedup(frame).count() == 0

@@ -38,6 +38,8 @@ from batchgate.llm.common import CHUNK_BYTES, mixed, quoted, running_offsets, st
 
 ROUNDS = 20
 ETA = 24.0
+# Text that is tokenised at once; its ids and their places take some ten times as much.
+PART_BYTES = CHUNK_BYTES // 2
 # Words whose ids a Python worker keeps; beyond it the memory starts anew.
 CACHED_WORDS = 800_000
 # Part of the fractional solution that is bought whole; the rest is rounded by best fit.
@@ -116,10 +118,14 @@ class WordEncoder:
             counts.append(np.array([len(ids)]))
             parts.append(np.array(ids, np.int32))
         new = np.array(letters + other + odd)
-        place = np.append(self.place, len(self.starts) - 1 + np.arange(len(new)))
-        keys, checks = np.append(self.keys, keys[new]), np.append(self.checks, checks[new])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.checks, self.place = keys[order], checks[order], place[order]
+        # The new words, sorted, go between the known ones.
+        order = np.argsort(keys[new], kind="stable")
+        place = (len(self.starts) - 1 + np.arange(len(new)))[order]
+        new = new[order]
+        at = np.searchsorted(self.keys, keys[new], "right")
+        self.keys, self.checks, self.place = (
+            np.insert(old, at, more) for old, more in (
+                (self.keys, keys[new]), (self.checks, checks[new]), (self.place, place)))
         self.flat = np.concatenate(parts)
         self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts)))
 
@@ -168,13 +174,13 @@ def text_chunks(batch: pa.RecordBatch, column: str,
 
 
 def gathered(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Neighbouring batches as one, while their text is below CHUNK_BYTES."""
+    """Neighbouring batches as one, while their text is below PART_BYTES."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         held.append(batch)
         size += batch.column(column).nbytes
-        if size >= CHUNK_BYTES:
+        if size >= PART_BYTES:
             yield pa.concat_batches(held)
             held, size = [], 0
     if held:
@@ -203,7 +209,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, separator: int
             tokenizer, WordEncoder(tokenizer))
         seen = np.zeros(capacity + 1, np.int64)
         for whole in gathered(batches, "text"):
-            for batch in text_chunks(whole, "text", 2 * CHUNK_BYTES):
+            for batch in text_chunks(whole, "text", PART_BYTES):
                 flat, ends = encoder.encode(batch.column("text"))
                 # The separator closes each document.
                 flat = np.insert(flat, ends, separator).astype("<u4")
@@ -220,6 +226,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, separator: int
                 seen += np.bincount(size, minlength=capacity + 1)
                 view = memoryview(flat).cast("B")
                 crc = [zlib.crc32(view[4 * a:4 * (a + n)]) for a, n in zip(begin, size)]
+                del order, ordered, first, ends, lengths
                 columns = {
                     "doc_id": batch.column("doc_id").take(pa.array(owner)),
                     "piece": pa.array(number.astype(np.int32)), "start": pa.array(start),

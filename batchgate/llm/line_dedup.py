@@ -113,24 +113,67 @@ def parsed(text: str) -> list[tuple[int, int, int, int, int, list[str]]]:
 
 
 # Digits are variables.
-_FOLD = np.array([48 if 48 <= b <= 57 else b for b in range(256)], np.uint32)
-
-
-def sketch(text: str) -> np.ndarray:
-    """The SKETCH smallest hashes of a text's pieces of PIECE bytes, in order."""
-    raw = text.encode().ljust(PIECE)
-    out = np.zeros(0, np.int32)
-    for at in range(0, len(raw) - PIECE + 1, 1 << 20):
-        h = _FOLD[np.frombuffer(raw, np.uint8, min(len(raw) - at, (1 << 20) + PIECE - 1), at)]
-        width = 1
-        while width < PIECE:
-            h = (h[:-width] * np.uint32(0x9E3779B1) ^ h[width:]) * np.uint32(0x85EBCA6B)
-            h ^= h >> np.uint32(15)
-            width *= 2
-        h = (h >> np.uint32(1)).astype(np.int32)
-        low = np.unique(h[h < (1 << 31) * min(1.0, 4 * SKETCH / len(h))])
-        low = low if len(low) >= SKETCH else np.unique(h)
-        out = np.unique(np.append(out, low[:SKETCH]))[:SKETCH]
+_RANDOM = np.random.default_rng(20240611).integers(0, 1 << 32, 256, dtype=np.uint32)
+_RANDOM[48:58] = _RANDOM[48]
+_BASE, _BLOCK = 0x9E3779B5, 1 << 20
+
+
+def _powers(base: int) -> np.ndarray:
+    steps = np.full(2 * _BLOCK, base, np.uint32)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint32)
+
+
+_UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 32))
+
+
+def _piece_hashes(raw: np.ndarray) -> np.ndarray:
+    """A hash of each PIECE neighbouring bytes: sums of random numbers times powers, mixed."""
+    sums = np.cumsum(_RANDOM[raw] * _UP[:len(raw)], dtype=np.uint32)
+    h = sums[PIECE - 1:].copy()
+    h[1:] -= sums[:len(h) - 1]
+    h *= _DOWN[:len(h)]
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    return (h >> np.uint32(1)).astype(np.int32)
+
+
+def _smallest(h: np.ndarray) -> np.ndarray:
+    low = np.unique(h[h < (1 << 31) * min(1.0, 4 * SKETCH / len(h))])
+    low = low if len(low) >= SKETCH else np.unique(h)
+    return low[:SKETCH]
+
+
+def sketches(texts: list[str]) -> list[np.ndarray]:
+    """The SKETCH smallest hashes of each text's pieces of PIECE bytes, in order; texts are
+    hashed together, long ones in parts."""
+    out: list[np.ndarray] = [None] * len(texts)
+    held, size = [], 0
+
+    def flush():
+        raw = np.frombuffer(b"".join(part for _, part in held), np.uint8)
+        h, at = _piece_hashes(raw), 0
+        for k, part in held:
+            out[k] = _smallest(h[at:at + len(part) - PIECE + 1])
+            at += len(part)
+
+    for k, text in enumerate(texts):
+        part = text.encode().ljust(PIECE)
+        if len(part) > _BLOCK:
+            raw = np.frombuffer(part, np.uint8)
+            out[k] = np.zeros(0, np.int32)
+            for at in range(0, len(raw) - PIECE + 1, _BLOCK):
+                low = _smallest(_piece_hashes(raw[at:at + _BLOCK + PIECE - 1]))
+                out[k] = np.unique(np.append(out[k], low))[:SKETCH]
+            continue
+        if size + len(part) > _BLOCK:
+            flush()
+            held, size = [], 0
+        held.append((k, part))
+        size += len(part)
+    if held:
+        flush()
     return out
 
 
@@ -172,7 +215,7 @@ def line_hashes(docs: DataFrame, text_col: str, min_tokens: int) -> DataFrame:
 
 
 def held_rows(lines: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Distinct lines whose key is wanted, by a bit array first."""
+    """Distinct lines whose key is wanted, and a few others that the bit array lets pass."""
     bits = lines.sparkSession.sparkContext.broadcast(bit_array(wanted, key, own_spot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,8 +223,7 @@ def held_rows(lines: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
             hit = may_hold(bits.value, batch.column(key).to_numpy() % BITS + 1)
             yield batch.filter(pa.array(hit, pa.bool_()))
 
-    some = lines.mapInArrow(tidy(run), lines.schema)
-    return some.distinct().join(wanted.select(key).hint("merge"), key, "left_semi")
+    return lines.mapInArrow(tidy(run), lines.schema).distinct()
 
 
 def second_look(docs: DataFrame, text_col: str, in_question: DataFrame, leaves: DataFrame,
@@ -201,13 +243,15 @@ def second_look(docs: DataFrame, text_col: str, in_question: DataFrame, leaves:
         for whole in batches:
             hit = may_hold(texts, whole.column("doc").to_numpy() % BITS + 1)
             for batch in text_chunks(whole.filter(pa.array(hit, pa.bool_())), "text", 1 << 20):
-                rows = []
+                fresh_texts = {}
                 for text, doc in zip(batch.column("text").to_pylist(),
                                      batch.column("doc").to_pylist()):
-                    if doc in seen:
-                        continue
-                    seen.add(doc)
-                    rows.append((doc, sketch(text), None, None, None))
+                    if doc not in seen:
+                        seen.add(doc)
+                        fresh_texts[doc] = text
+                found = sketches(list(fresh_texts.values()))
+                rows = [(doc, s, None, None, None) for doc, s in zip(fresh_texts, found)]
+                for text in fresh_texts.values():
                     lines = [t for t in map(masked, text.split("\n")) if t]
                     lines = [t for t in lines if len(t) >= least] if len(lines) > 1 else []
                     own = np.array([leaf_of(t) for t in lines], np.int64)

@@ -71,18 +71,24 @@ def stage_lines(spark: SparkSession, paths: Sequence[str], day: date, key: bytes
 
 def find_spanning(staged: DataFrame, sites: Sequence[str], offsets: DataFrame) -> DataFrame:
     """Locators of all lines that belong to line-spanning records: ``LINE_KEY``, ``record``,
-    ``line``, ``line_hash``.  Works on the narrow flags of the staged lines.
+    ``line``, ``line_hash``.
 
-    Long lines come along as records of one line, because a field limit holds for files
-    with such records.
+    Only lines whose quotes change or set the state are sorted; they give intervals, whose lines
+    find their hashes by key.  Long lines come along as records of one line, because a field
+    limit holds for files with such records.
     """
-    lines = staged.where(F.col("hospital").isin(*sites)).select(
-        *landing.LINE_KEY, "line_hash", (F.col("kind") == "open").alias("opens"), "stays", "long")
-    marked = landing.quote_states(lines)
-    spanning = landing.spanning_lines(marked).unionByName(
-        marked.where(F.col("starts") & ~F.col("ends_open") & F.col("long")))
-    return landing.locate(spanning, offsets).select(
-        *landing.LINE_KEY, "record", "line", "line_hash")
+    some = staged.where(F.col("hospital").isin(*sites))
+    opens = F.col("kind") == "open"
+    events = some.where(opens | ~F.col("stays")).select(
+        *landing.LINE_KEY, opens.alias("opens"), "stays")
+    intervals = landing.spanning_intervals(
+        events, offsets.where(F.col("hospital").isin(*sites)))
+    inside = landing.interval_lines(intervals)
+    keys = list(landing.LINE_KEY)
+    spanning = some.select(*keys, "line_hash").join(inside, keys)
+    alone = some.where("long").select(*keys, "line_hash").join(inside, keys, "left_anti")
+    return landing.locate(spanning.unionByName(alone.withColumn("record", F.col("mid"))), offsets
+                          ).select(*keys, "record", "line", "line_hash")
 
 
 def stage_spanning(spark: SparkSession, paths: Sequence[str], spanning: DataFrame, day: date,

@@ -367,6 +367,62 @@ def spanning_lines(marked: DataFrame) -> DataFrame:
     return marked.where(~F.col("starts") | F.col("ends_open"))
 
 
+def spanning_intervals(events: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Where quoted fields run over line ends: ``hospital, file, block, first, last, record``.
+
+    ``events`` are the lines that do not leave the state "inside quotes" as it is, which takes a
+    quote: ``LINE_KEY``, ``opens``, ``stays``, materialised.  ``blocks`` has every split's
+    ``lines`` and ``first_mid``.  Windows run over the events of a split and over the splits of a
+    file, whatever number of other lines there are.  An interval lies in one split; ``record``
+    is the ``mid`` of the record's first line, which may lie in an earlier one.
+    """
+    keys = ["hospital", "file", "block"]
+    in_block = Window.partitionBy(*keys).orderBy("mid")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    # An event keeps, swaps or sets the state; the state after it is the last one set, or the
+    # split's entry, swapped as often as events have swapped it since.
+    swapped = F.sum((F.col("opens") & ~F.col("stays")).cast("int")).over(so_far) % 2 == 1
+    scanned = events.withColumn("_swapped", swapped).withColumn("_set", F.last(
+        F.when(F.col("opens") == F.col("stays"), F.col("opens") != F.col("_swapped")),
+        ignorenulls=True).over(so_far))
+    per_block = scanned.groupBy(*keys).agg(
+        F.max_by("_swapped", "mid").alias("_swapped"), F.max_by("_set", "mid").alias("_set"))
+    earlier = Window.partitionBy("hospital", "file").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    splits = blocks.select(*keys, "lines", "first_mid").join(per_block, keys, "left").withColumn(
+        "_before", F.coalesce(F.sum(F.coalesce(F.col("_swapped"), F.lit(False)).cast("int")).over(
+            earlier), F.lit(0)) % 2 == 1)
+    set_before = F.last(F.when(F.col("_set").isNotNull(), F.col("_set") != F.col("_before")),
+                        ignorenulls=True).over(earlier)
+    splits = splits.select(
+        *keys, (F.col("first_mid") + F.col("lines") - 1).alias("_end"), "first_mid",
+        (F.coalesce(set_before, F.lit(False)) != F.col("_before")).alias("_entry"))
+    stated = scanned.join(splits, keys).withColumn(
+        "_after", F.coalesce("_set", "_entry") != F.col("_swapped"))
+    changes = stated.withColumn(
+        "_prior", F.coalesce(F.lag("_after").over(in_block), F.col("_entry"))).where(
+        F.col("_after") != F.col("_prior")).withColumn("_next", F.lead("mid").over(in_block))
+    opened = changes.where("_after").select(
+        *keys, F.col("mid").alias("first"), F.coalesce("_next", "_end").alias("last"),
+        F.col("mid").alias("record"))
+    # Splits that begin inside a record of an earlier one.
+    heads = changes.groupBy(*keys).agg(
+        F.min("mid").alias("_closing"), F.max(F.when(F.col("_after"), F.col("mid"))).alias("_last"))
+    entered = splits.join(heads, keys, "left").withColumn(
+        "record", F.last("_last", ignorenulls=True).over(earlier)).where("_entry").select(
+        *keys, F.col("first_mid").alias("first"), F.coalesce("_closing", "_end").alias("last"),
+        "record")
+    return opened.unionByName(entered)
+
+
+def interval_lines(intervals: DataFrame) -> DataFrame:
+    """``LINE_KEY`` and ``record`` of every line in the intervals, some thousand at a time."""
+    parts = intervals.withColumn("_at", F.explode(F.sequence("first", "last", F.lit(4096))))
+    end = F.least(F.col("_at") + 4095, F.col("last"))
+    return parts.select("hospital", "file", "block", F.explode(
+        F.sequence("_at", end)).alias("mid"), "record")
+
+
 def is_long(line: Column) -> Column:
     """Long enough to hold a field beyond the limit."""
     return F.octet_length(line) > FIELD_LIMIT

@@ -228,3 +228,43 @@ def test_long_record_of_legal_fields_is_one_reject(spark, delivery, store):
     delivery.fill().append("A", ",".join(fields) + "\r\n", 45)
     with pytest.raises(BatchError, match="INTERNAL_ERROR"):
         run_batch(spark, str(delivery), store, DAY)
+
+
+def test_only_quoted_lines_are_sorted(spark, small_splits, tmp_path):
+    """Spanning lines come from a few events; they equal those of the walk over all lines."""
+    rng = random.Random(8)
+    lines = [",".join(DEFAULT.columns)]
+    for k in range(3000):
+        lines.append(rng.choice(PIECES) + ",x" if rng.random() < 0.05 else f"plain{k},x")
+    path = tmp_path / "hospital_A.csv"
+    path.write_text("\n".join(lines), encoding="utf-8", newline="")
+    value = F.col("value")
+    landing.read_lines(spark, [str(path)]).withColumns({
+        "line_hash": landing.line_hash(value), "kind": landing.line_kind(value),
+        "stays": landing.stays_open(value), "opens": landing.opens(value),
+    }).write.parquet(str(tmp_path / "stage"))
+    staged = spark.read.parquet(str(tmp_path / "stage"))
+    blocks = landing.with_offsets(landing.line_sums(staged, ("hospital", "file", "block")))
+    events = staged.where("opens or not stays").select(*landing.LINE_KEY, "opens", "stays")
+    intervals = landing.spanning_intervals(events, blocks)
+    sparse = landing.interval_lines(intervals).select(*landing.LINE_KEY, "record")
+    dense = landing.spanning_lines(landing.quote_states(staged)).select(*sparse.columns)
+    assert sorted(map(tuple, sparse.collect())) == sorted(map(tuple, dense.collect()))
+    assert 0 < events.count() < 400 and dense.count() > 20
+    plan = intervals._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan  # windows see what passes it
+
+
+def test_a_quote_that_never_closes_is_one_interval(spark, small_splits, tmp_path):
+    path = tmp_path / "hospital_A.csv"
+    path.write_text("h\n" + "a,b\n" * 100 + '"open,b\n' + "c,d\n" * 20_000, newline="")
+    value = F.col("value")
+    landing.read_lines(spark, [str(path)]).withColumns({
+        "line_hash": landing.line_hash(value), "stays": landing.stays_open(value),
+        "opens": landing.opens(value)}).write.parquet(str(tmp_path / "stage"))
+    staged = spark.read.parquet(str(tmp_path / "stage"))
+    blocks = landing.with_offsets(landing.line_sums(staged, ("hospital", "file", "block")))
+    intervals = landing.spanning_intervals(
+        staged.where("opens or not stays").select(*landing.LINE_KEY, "opens", "stays"), blocks)
+    assert intervals.select("record").distinct().count() == 1
+    assert landing.interval_lines(intervals).distinct().count() == 20_001

@@ -25,17 +25,19 @@ from batchgate.operators.compare import snapshot_diff
 from batchgate.operators.contract import (
     CANONICAL, DEFAULT, canonical, classify, site_date, strict_shape, unit_factor,
 )
+from batchgate.operators.hashtree import tree_diff, write_tree
 from batchgate.operators.median import medians
 from batchgate.operators.digest import row_hash, tree_digest
 from batchgate.plans import store as stores
 from batchgate.plans.batch import entity_rows, run_batch
+from batchgate.plans.daily import audit
 from batchgate.plans.stage import stage, typed_rows
 from batchgate.plans.tables import TABLES
 from batchgate.session import scratch_folder
 from batchgate.sources import files, landing
 from batchgate.sources.jsonbatch import expand_json, pack_json
 from batchgate.sources.normalise import land
-from batchgate.sources.synthetic import dirty_rows, site_rows, write_control
+from batchgate.sources.synthetic import dirty_rows, site_rows, write_control, write_site
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -332,6 +334,20 @@ def snapshot_diff_rows(spark, sf_dir):
     return snapshot_diff(orders, changed)
 
 
+@query
+def snapshot_diff_tree(spark, sf_dir):
+    """The same comparison by stored hash trees, of which only differing leaves are read."""
+    orders = read(spark, sf_dir, "orders")
+    keys = ("o_orderkey", "o_custkey")
+    changed = F.when(F.col("o_totalprice") > 400000, "F").otherwise(F.col("o_orderstatus"))
+    sides = (orders.select(*keys, "o_orderstatus"),
+             orders.select(*keys, changed.alias("o_orderstatus")))
+    folders = [scratch_folder(spark) for _ in sides]
+    for table, folder in zip(sides, folders):
+        write_tree(table, folder)
+    return tree_diff(spark, *folders, sides[0])
+
+
 # --- ledger, JSON, measures ---------------------------------------------------------------
 
 
@@ -473,6 +489,21 @@ def spanning_records(spark, sf_dir):
         row_count().alias("rows"), F.count_distinct("file", "line").alias("locators"))
 
 
+@query
+def located_rejects(spark, sf_dir):
+    """The rows that the rejects' locators point at, in files numbered by themselves."""
+    folder = deliver_files(spark, delivered(spark, sf_dir, one_day=True))
+    found = stage(spark, landing.list_delivery(spark, folder, SITES), folder, BATCH_DAY, DEMO_KEY,
+                  DEFAULT, scratch_folder(spark))
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"(hospital_[^/]+\.csv/[^/]+)\z", 1)
+    whole = spark.read.text([landing.data_path(folder, s) for s in SITES], wholetext=True)
+    numbered = whole.select(name.alias("file"), F.posexplode(F.split("value", "\n", -1)).alias(
+        "at", "text")).select("file", (F.col("at") + 1).cast("long").alias("line"), F.substr(
+            F.get(F.split("text", ","), F.lit(2)), F.lit(7)).try_cast("long").alias("event_id"))
+    return found.rejected.join(numbered, ["file", "line"], "left").select(
+        "hospital", "event_id", "reason")
+
+
 @query
 def delivery_fingerprint(spark, sf_dir):
     """Lines per site from the fingerprint scan; copied files keep it, one other value does not."""
@@ -606,3 +637,79 @@ def publish_rollback(spark, sf_dir):
     return rows.groupBy("hospital").agg(
         row_count().alias("rows"), F.sum("value").alias("total"),
         F.lit(failed).cast("long").alias("failed_runs"))
+
+
+@query
+def gate_matrix(spark, sf_dir):
+    """Broken deliveries of all events: the code that stops each, and what the ledger keeps."""
+    rows = delivered(spark, sf_dir, one_day=True)
+    whole = deliver_files(spark, rows)
+    site = SITES[-1]
+    many = rows.where(F.col("hospital") == site).count()
+    data, control = (lambda f: landing.data_path(f, site)), (lambda f: landing.control_path(f, site))
+
+    def replaced(path, text):
+        files.delete_tree(spark, path)
+        files.write_new(spark, path, text)
+
+    def header_only(folder):
+        replaced(data(folder), ",".join(DEFAULT.columns) + "\n")
+        write_control(spark, folder, site, 0)
+
+    def renamed(folder):
+        mine = rows.where(F.col("hospital") == site).select(*DEFAULT.columns)
+        files.delete_tree(spark, data(folder))
+        write_site(spark, mine.withColumnRenamed("unit", "units"), folder, site)
+
+    cases = {
+        "no data file": (lambda f: files.delete_tree(spark, data(f)), {}),
+        "no control file": (lambda f: files.delete_tree(spark, control(f)), {}),
+        "control in words": (lambda f: replaced(control(f), "many\n"), {}),
+        "control one short": (lambda f: write_control(spark, f, site, many - 1), {}),
+        "other header": (renamed, {}),
+        "header only": (header_only, {}),
+        "too many rejects": (lambda f: None, {"max_reject_ratio": 0.01}),
+        "other content": (lambda f: None, {"expected_fingerprint": "0" * 64}),
+        "fails after writing": (lambda f: None, {"fail_at": "after_insert"}),
+    }
+    store, out = scratch_folder(spark), []
+    for case, (damage, options) in cases.items():
+        folder = scratch_folder(spark)
+        files.copy(spark, whole, folder)
+        damage(folder)
+        code = None
+        try:
+            run_batch(spark, folder, store, BATCH_DAY.isoformat(),
+                      **({"max_reject_ratio": 1.0} | options))
+        except BatchError as error:
+            code = str(error)
+        files.delete_tree(spark, folder)
+        out.append((case, code))
+    files.delete_tree(spark, whole)
+    told = spark.createDataFrame(out, "case string, code string")
+    kept = stores.runs(spark, store).groupBy(F.col("error_code").alias("code")).agg(
+        F.max("status").alias("status"), row_count().alias("runs"))
+    seen = stores.snapshot(spark, store, "measurement_snapshot").count()
+    return told.join(kept, "code", "left").withColumn(
+        "published_rows", F.lit(seen).cast("long"))
+
+
+@query
+def tampered_audit(spark, sf_dir):
+    """The audit of a published day, and of the same day with a row gone and values out of range."""
+    store, report = _publish(spark, sf_dir)
+    day = BATCH_DAY.isoformat()
+    before = audit(spark, store, day)
+    run = [(report["run_id"], day)]
+    table = stores.read_run(spark, store, "measurement_snapshot", run)
+    first = table.agg(F.min("measurement_id")).first()[0]
+    changed = written(table.where(F.col("measurement_id") != first).withColumn(
+        "value", F.when(F.col("unit") == "mg/dL", F.lit(999999)).otherwise(F.col("value"))
+        .cast("decimal(18,4)")).drop("batch_date"))
+    changed.write.mode("overwrite").parquet(
+        stores.run_path(store, "measurement_snapshot", report["run_id"], day))
+    after = audit(spark, store, day)
+    return spark.createDataFrame(
+        [(state, found["success"], ",".join(sorted(found["failed"])))
+         for state, found in (("published", before), ("tampered", after))],
+        "state string, success boolean, failed string")

@@ -59,7 +59,8 @@ def _limit(spark: SparkSession, name: str, default: int) -> int:
 
 
 @contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for a block, put back afterwards."""
     before = {name: spark.conf.get(name, None) for name in values}
     for name, value in values.items():
         spark.conf.set(name, value)
@@ -80,7 +81,7 @@ def batch_settings(spark: SparkSession, input_bytes: int):
     to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     split = max(to_bytes(spark.conf.get(largest)), input_bytes // _limit(spark, "maxSplits", _MAX_SPLITS))
     number = spark.conf.get(cores, None) or str(spark.sparkContext.defaultParallelism)
-    return _settings(spark, COMPILED_METHODS | SECRET_PLANS | {
+    return settings(spark, COMPILED_METHODS | SECRET_PLANS | {
         largest: f"{split}b", cores: number})
 
 
@@ -93,7 +94,7 @@ def wide_shuffles(spark: SparkSession, input_bytes: int):
                    min(_limit(spark, "maxReducers", _MAX_REDUCERS),
                        input_bytes // _BYTES_PER_REDUCER))
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    return _settings(spark, {initial: str(reducers)})
+    return settings(spark, {initial: str(reducers)})
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -1,6 +1,7 @@
 """Sharding by a two-pass external shuffle, in DataFrame operations alone.
 
-Pass one scatters the records uniformly into buckets that fit in memory, by a seeded hash.  Pass
+Pass one scatters the records uniformly into buckets that fit in memory, by a seeded hash; bucket
+k goes to task k mod tasks, so every task has its fair share of them.  Pass
 two shuffles each bucket with Fisher and Yates' algorithm (Spark's ``shuffle``), numbers the
 records through all buckets, and writes record number p to shard ``p mod shards`` at slot
 ``p div shards``: the counts of two shards differ by one at most, and the slots have no gaps.
@@ -20,12 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchgate.llm.common import fresh, quoted, running_offsets
-from batchgate.session import scratch_folder
+from batchgate.session import scratch_folder, settings
 
-# Text that one task holds while it shuffles a bucket.
+# Text that one task holds while it shuffles a bucket, whatever the number of buckets.
 BUCKET_BYTES = 32 << 20
-# Bounds the table of first record numbers, which is broadcast: 16 bytes a bucket.
-MAX_BUCKETS = 1 << 18
+# Beyond it a task takes several buckets, sorted by bucket and held one at a time.
+MAX_TASKS = 1 << 16
+# Bounds the table of first record numbers, which is broadcast: 16 bytes a bucket, 64 MB in all.
+# Buckets stay within their size up to 128 TB of text and grow beyond.
+MAX_BUCKETS = 1 << 22
+# Aggregate sorted groups: a task then holds one bucket, where a hash table would hold many.
+ONE_AT_A_TIME = {"spark.sql.execution.useObjectHashAggregateExec": "false"}
 
 
 def size_of(text: str):
@@ -33,8 +39,13 @@ def size_of(text: str):
     return (F.coalesce(F.octet_length(quoted(text)), F.lit(0)) + 1).cast("long")
 
 
+def scatter(numbered: DataFrame, bucket: str, buckets: int, max_tasks: int) -> DataFrame:
+    """Rows of bucket k in partition k mod tasks; with a task a bucket nothing shares one."""
+    return numbered.repartitionById(min(buckets, max_tasks), bucket)
+
+
 def shard(records: DataFrame, shards: int, seed: int = 17, id_col: str = "doc_id",
-          text_col: str = "text", bucket_bytes: int = BUCKET_BYTES,
+          text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, max_tasks: int = MAX_TASKS,
           folder: str | None = None) -> DataFrame:
     """Write the records into shards and return them as written: all columns, shard, slot.
 
@@ -54,9 +65,9 @@ def shard(records: DataFrame, shards: int, seed: int = 17, id_col: str = "doc_id
     first = running_offsets(counts.withColumn("all", F.lit(0)), bucket_col, "n", ["all"]).select(
         bucket_col, F.col("base").alias(base_col))
 
-    # One partition a bucket, or a few; sorted, so that a repeated task shuffles alike.
+    # Sorted, so that a repeated task shuffles alike.
     record = F.struct(row_col, *[quoted(c) for c in records.columns])
-    held = (scattered.repartition(buckets, bucket_col).groupBy(bucket_col)
+    held = (scatter(scattered, bucket_col, buckets, max_tasks).groupBy(bucket_col)
             .agg(F.sort_array(F.collect_list(record)).alias("records"))
             .join(F.broadcast(first), bucket_col).sortWithinPartitions(bucket_col))
     mixed = held.select(base_col, F.posexplode(F.shuffle("records", seed)).alias("at", "r"))
@@ -66,7 +77,8 @@ def shard(records: DataFrame, shards: int, seed: int = 17, id_col: str = "doc_id
         (number % shards).cast("int").alias(shard_col),
         F.floor(number / shards).cast("long").alias(slot_col))
     path = folder or scratch_folder(spark)
-    placed.sortWithinPartitions(shard_col, slot_col).write.partitionBy(shard_col).parquet(path)
+    with settings(spark, ONE_AT_A_TIME):
+        placed.sortWithinPartitions(shard_col, slot_col).write.partitionBy(shard_col).parquet(path)
     written = spark.read.schema(placed.schema).parquet(path)
     kept, there = written.select(slot_col).count(), counts.agg(F.sum("n")).first()[0] or 0
     if kept != there:

@@ -30,4 +30,6 @@ RUNS = _schema(
     run_id=_TEXT, batch_date=_DAY, status=_TEXT, source_sha256=_TEXT, metrics_json=_TEXT,
     error_code=_TEXT, recorded_at=TimestampType())
 
+COMMITS = _schema(number=LongType(), batch_date=_DAY, run_id=_TEXT, key_id=_TEXT)
+
 ALERTS = _schema(batch_date=_DAY, message=_TEXT, recorded_at=TimestampType())

@@ -88,8 +88,8 @@ def plain(path: str) -> str:
 def write_new(spark: SparkSession, path: str, text: str) -> None:
     """Create ``path`` with all of ``text`` or fail; an existing file is never replaced.
 
-    The content is finished under a hidden name first and then renamed, so a reader sees
-    the whole file or none.
+    The content is finished under a hidden name first and then renamed (linked on local disks),
+    so a reader sees the whole file or none, and of two writers one gets the name.
     """
     jvm = spark._jvm
     target = _path(spark, path)
@@ -101,12 +101,21 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+    whole, there = fs.makeQualified(hidden), fs.makeQualified(target)
     try:
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            fs.makeQualified(target).toUri(), spark._jsc.hadoopConfiguration()
-        )
-        none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        context.rename(fs.makeQualified(hidden), fs.makeQualified(target), none)
+        if there.toUri().getScheme() == "file":
+            # Local renames look for the target first and then replace it; a link is one step.
+            nio = jvm.java.nio.file
+            parts = spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0)
+            at = [nio.Path.of(p.toUri().getPath(), parts) for p in (there, whole)]
+            nio.Files.createLink(*at)
+            fs.delete(hidden, False)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                there.toUri(), spark._jsc.hadoopConfiguration())
+            none = spark.sparkContext._gateway.new_array(
+                jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context.rename(whole, there, none)
     except Exception:
         fs.delete(hidden, False)
         raise

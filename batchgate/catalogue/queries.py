@@ -35,7 +35,7 @@ from batchgate.plans.stage import stage, typed_rows
 from batchgate.plans.tables import TABLES
 from batchgate.session import scratch_folder
 from batchgate.sources import files, landing
-from batchgate.sources.jsonbatch import expand_json, pack_json
+from batchgate.sources.jsonbatch import expand_json, pack_json, typed_entries
 from batchgate.sources.normalise import land
 from batchgate.sources.synthetic import dirty_rows, site_rows, write_control, write_site
 
@@ -388,6 +388,30 @@ def json_batch_rows(spark, sf_dir):
     return expand_json(pack_json(events, "batch"), _ROW_SCHEMA).drop("batch")
 
 
+@query
+def json_batch_reasons(spark, sf_dir):
+    """Events as JSON arrays in which some entries are damaged: entries by what is wrong with them."""
+    value = F.col("value").cast("decimal(18,4)")
+    fields = [F.to_date("ts").alias("day"), "event_type"]
+    text = lambda *more: F.to_json(F.struct(*fields, *more))
+    turn, number = F.col("event_id") % 50, F.col("event_id")
+    entry = (
+        F.when(turn == 7, text(number, value.cast("string").alias("value")))
+        .when(turn == 8, text(value.alias("value")))
+        .when(turn == 9, text(number.cast("string").alias("event_id"), value.alias("value")))
+        .when(turn == 10, F.concat(F.lit('"'), "event_type", F.lit('"')))
+        .otherwise(text(number, value.alias("value"))))
+    batches = read(spark, sf_dir, "events").groupBy(
+        F.floor(number / 1000).alias("batch")).agg(F.concat(
+            F.lit("["), F.array_join(F.collect_list(entry), ","), F.lit("]")).alias("payload"))
+    strict = StructType([StructField(f.name, f.dataType, f.name != "event_id")
+                         for f in _ROW_SCHEMA])
+    outcome = F.coalesce("reason", F.lit("ACCEPTED")).alias("outcome")
+    return typed_entries(batches, strict).groupBy(outcome).agg(
+        row_count().alias("entries"), F.count("position").alias("positions"),
+        F.count("event_id").alias("ids"), F.sum("value").alias("total"))
+
+
 @query
 def metrics_json(spark, sf_dir):
     """Report of each site as JSON text, read back through its fields."""

@@ -123,3 +123,10 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
 
 def delete_tree(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
+
+
+def replace_tree(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to the place of another one."""
+    delete_tree(spark, target)
+    if not _fs(spark, source).rename(_path(spark, source), _path(spark, target)):
+        raise OSError(f"{source} was not moved")

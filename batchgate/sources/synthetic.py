@@ -49,13 +49,19 @@ def write_control(spark: SparkSession, folder: str, site: str, rows: int) -> Non
     files.write_new(spark, control_path(folder, site), f"{rows}\n")
 
 
+def write_csv(rows: DataFrame, path: str, line_separator: str = "\n",
+              by: str | None = None) -> None:
+    """Write rows as part files that each start with the header, in a folder per ``by``."""
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).csv(
+        path, header=True, escape='"', emptyValue="", nullValue="", lineSep=line_separator,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 def write_site(spark: SparkSession, rows: DataFrame, folder: str, site: str,
                line_separator: str = "\n") -> None:
-    """Write one site's rows as part files that each start with the header."""
-    rows.write.mode("overwrite").csv(
-        data_path(folder, site), header=True, escape='"', emptyValue="", nullValue="",
-        lineSep=line_separator, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
+    """Write one site's rows as a delivery."""
+    write_csv(rows, data_path(folder, site), line_separator)
 
 
 def generate(spark: SparkSession, folder: str, day: str, rows_per_hospital: int = 1000,

@@ -3,11 +3,13 @@
 A rule is a host and a path and fits that host and its subdomains where the path starts with the
 rule's; the longest fitting rule decides.  Other URLs are judged by boosted trees over how the URL
 is written: lengths, depth, ratios of digits and other characters, character entropy, numbers of
-parameters, and the suffix's share of blocked URLs among the labelled ones, smoothed.
+parameters, and the suffix's share of blocked URLs among the labelled ones, smoothed.  The trees
+learn from shares that leave a URL's own fold out, so a share never tells them the URL's label.
 
 The trees are trained from labelled URLs, of which at most TRAIN_ROWS of either label, those with
 the smallest hashes, are used.  ``labelled_by_words`` makes labels from a short list of words
-that name unwanted sites; the trees see no words, only features, so they carry over to hosts
+that name unwanted sites, as whole words of a host: between dots, hyphens, underscores, digits or
+the host's ends, so that "ads" is no word of "downloads"; the trees see no words, only features, so they carry over to hosts
 whose names the list does not hold.
 
 Cases: a null URL and one without ``://`` have an empty host and path, fit no rule and are judged
@@ -18,11 +20,9 @@ empty table gives an empty result; other columns are carried along by ``judge``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchgate.llm.common import bounded_sample, fresh, quoted
@@ -37,7 +37,9 @@ RULES = (
 )
 TRAIN_ROWS = 5_000
 TREES, DEPTH, SEED = 20, 4, 7
-# Words in a host that label its URLs as unwanted.
+# Suffix shares: folds of the labelled URLs, and URLs' worth of the overall share in each.
+FOLDS, SMOOTHING = 5, 10
+# Words of a host that label its URLs as unwanted.
 UNWANTED_WORDS = ("adult", "ads", "bets", "casino", "pills", "porn", "spam")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -111,7 +113,7 @@ def labelled_by_words(urls: DataFrame, url_col: str = "url",
                       words: tuple[str, ...] = UNWANTED_WORDS) -> DataFrame:
     """url and label (1: unwanted) of all distinct non-null URLs."""
     host = host_of(F.col("url"))
-    named = reduce(lambda a, b: a | b, (F.contains(host, F.lit(w)) for w in words))
+    named = F.rlike(host, F.lit(rf"(?:\A|[._0-9-])(?:{'|'.join(words)})(?:\z|[._0-9-])"))
     return urls.select(quoted(url_col).alias("url")).where("url is not null").distinct().select(
         "url", named.cast("int").alias("label"))
 
@@ -135,16 +137,30 @@ class UrlModel:
         prior = sum(k for _, k in kept) / len(kept)
         counted = sample.groupBy(suffix_of(F.col("url")).alias("s")).agg(
             F.count("*").alias("n"), F.sum("label").alias("k")).collect()
-        self.suffixes = {r.s: (r.k + 10 * prior) / (r.n + 10) for r in counted}
+        self.suffixes = {r.s: self._smoothed(r.k, r.n, prior) for r in counted}
         self.prior = prior
-        frame = self._assembled(sample.withColumn("label", F.col("label").cast("double")), "url")
+        frame = self._assembled(self._folded(sample), "url", F.col("share"))
         self.model = GBTClassifier(
             featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
             maxMemoryInMB=64, cacheNodeIds=False).fit(frame)
 
-    def _assembled(self, frame: DataFrame, url_col: str) -> DataFrame:
-        share = F.lit(self.prior)
-        if self.suffixes:
+    @staticmethod
+    def _smoothed(unwanted, urls, prior):
+        return (unwanted + SMOOTHING * prior) / (urls + SMOOTHING)
+
+    def _folded(self, sample: DataFrame) -> DataFrame:
+        """Labelled URLs with their suffix's share in the other folds."""
+        suffix, fold = suffix_of(F.col("url")), F.pmod(F.xxhash64("url"), F.lit(FOLDS))
+        whole, own = Window.partitionBy("s"), Window.partitionBy("s", "fold")
+        rest = lambda c: F.sum(c).over(whole) - F.sum(c).over(own)
+        share = self._smoothed(rest("label"), rest(F.lit(1)), F.lit(self.prior))
+        return sample.withColumns({"s": suffix, "fold": fold}).select(
+            "url", F.col("label").cast("double").alias("label"), share.alias("share"))
+
+    def _assembled(self, frame: DataFrame, url_col: str, share: Column | None = None) -> DataFrame:
+        """Add the features' vector; the suffix's share is that of all folds if none is given."""
+        if share is None:
+            share = F.lit(self.prior)
             pairs = [F.lit(x) for item in self.suffixes.items() for x in item]
             share = F.coalesce(F.try_element_at(
                 F.create_map(*pairs), suffix_of(quoted(url_col))), share)

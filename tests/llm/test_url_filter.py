@@ -64,3 +64,43 @@ def test_one_kind_of_label_and_empty_table(spark):
     assert u.op4_url_filters(clean.limit(0)).count() == 0
     bad = clean.selectExpr("url", "1 as label")
     assert u.UrlModel(bad).with_verdict(clean).first().verdict == "block"
+
+
+def test_words_of_hosts(spark):
+    hosts = {"downloads.example.org": 0, "roads-and-ads.org": 1, "ads.example.org": 1, "ads7.net": 1,
+             "x9ads.net": 1, "heads.net": 0, "alphabets.com": 0, "best-bets.com": 1, "CASINO.biz": 1,
+             "casinos.biz": 0, "a_spam_b.org": 1, "spamalot.org": 0, "x.org/ads/": 0, "pills": 1}
+    frame = spark.createDataFrame([(f"http://{h}/x",) for h in hosts], "url string")
+    got = {r.url: r.label for r in u.labelled_by_words(frame).collect()}
+    assert got == {f"http://{h}/x": k for h, k in hosts.items()}
+
+
+def test_suffix_shares_leave_the_own_fold_out(spark):
+    rows = [(f"http://h{k}.s{k % 3}/", int(k % 3 == 0 or k == 1)) for k in range(60)]
+    rows += [("http://only.one/", 1)]
+    model = u.UrlModel(spark.createDataFrame(rows, "url string, label int"))
+    folds = {r.url: r.f for r in spark.createDataFrame(rows, "url string, label int").select(
+        "url", F.pmod(F.xxhash64("url"), F.lit(u.FOLDS)).alias("f")).collect()}
+    prior = sum(k for _, k in rows) / len(rows)
+    sample = spark.createDataFrame(rows, "url string, label int")
+    for r in model._folded(sample).collect():
+        suffix = r.url.rstrip("/").rsplit(".", 1)[1]
+        others = [k for url, k in rows if url.rstrip("/").endswith("." + suffix)
+                  and folds[url] != folds[r.url]]
+        expected = (sum(others) + u.SMOOTHING * prior) / (len(others) + u.SMOOTHING)
+        assert abs(r.share - expected) < 1e-12
+    # A suffix seen once says nothing about its only URL.
+    assert {r.url: r.share for r in model._folded(sample).collect()}["http://only.one/"] == prior
+
+
+def test_unseen_words(spark):
+    """Trees trained on some words' hosts block hosts of words that no label knows."""
+    host = lambda w, k: f"http://{w}-{k % 7}{k}x{k * 31 % 97}.example.biz/go?id={k}&r=1"
+    plain = lambda w, k: f"https://{w}.example.org/en/{k}"
+    train = [(host(w, k),) for w in ("casino", "pills") for k in range(100)]
+    train += [(plain(w, k),) for w in ("downloads", "roads", "garden") for k in range(100)]
+    model = u.UrlModel(u.labelled_by_words(spark.createDataFrame(train, "url string")))
+    other = [(host(w, k), "block") for w in ("lotto", "slots") for k in range(50)]
+    other += [(plain(w, k), "allow") for w in ("uploads", "kitchen") for k in range(50)]
+    judged = model.with_verdict(spark.createDataFrame(other, "url string, right string")).collect()
+    assert sum(r.verdict == r.right for r in judged) >= 0.97 * len(judged)

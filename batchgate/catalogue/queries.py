@@ -542,10 +542,9 @@ def delivery_fingerprint(spark, sf_dir):
     seen = first != landing.input_fingerprint(spark, changed, SITES)
     for gone in (copy, changed):
         files.delete_tree(spark, gone)
-    hashed = _lines(spark, folder).withColumn("line_hash", landing.line_hash(F.col("value")))
-    blocks = landing.line_sums(hashed, ("hospital", "file", "block"))
-    summaries = landing.file_summary(landing.with_offsets(blocks))
-    return summaries.groupBy("hospital").agg(
+    blocks = landing.line_counts(_lines(spark, folder), ("hospital", "file", "block"))
+    return blocks.groupBy("hospital", "file").agg(F.sum("lines").alias("lines")).groupBy(
+        "hospital").agg(
         F.sum(F.col("lines") - 1).alias("rows"), F.lit(same).alias("unchanged"),
         F.lit(seen).alias("change_seen"))
 

@@ -14,6 +14,7 @@ from batchgate.functions.tokens import pack_tokens
 from batchgate.operators.contract import CANONICAL, Contract, canonical, classify
 from batchgate.operators.gates import quarantine
 from batchgate.sources import landing
+from batchgate.sources.fingerprint import line_digest
 from batchgate.sources.landing import Delivery
 
 
@@ -62,10 +63,11 @@ def stage_lines(spark: SparkSession, paths: Sequence[str], day: date, key: bytes
     """Every line as a record of its own; lines that cannot be one say so in ``kind``."""
     value = F.col("value")
     lines = landing.read_lines(spark, paths).withColumns({
-        "line_hash": landing.line_hash(value), "kind": landing.line_kind(value),
-        "stays": landing.stays_open(value), "long": landing.is_long(value),
+        "line_hash": landing.line_hash(value), "line_digest": line_digest(value),
+        "kind": landing.line_kind(value), "stays": landing.stays_open(value),
+        "long": landing.is_long(value),
     })
-    keep = (*landing.LINE_KEY[1:], "line_hash", "kind", "stays", "long")
+    keep = (*landing.LINE_KEY[1:], "line_hash", "line_digest", "kind", "stays", "long")
     return pack_tokens(typed_rows(lines, day, key, contract, keep), _token_columns(contract))
 
 
@@ -150,17 +152,16 @@ def stage(spark: SparkSession, deliveries: Sequence[Delivery], folder: str, day:
     staged = spark.read.parquet(f"{scratch}/stage")
 
     outcome = ["kind", "is_header", "reason"]
-    landing.line_sums(staged, ("hospital", "file", "block", *outcome)).write.parquet(
+    landing.line_counts(staged, ("hospital", "file", "block", *outcome)).write.parquet(
         f"{scratch}/tallies")
     tallies = spark.read.parquet(f"{scratch}/tallies")
     counts = tallies.groupBy("hospital", *outcome).agg(F.sum("lines").alias("lines")).collect()
-    blocks = landing.with_offsets(landing.merge_sums(
+    blocks = landing.with_offsets(landing.merge_counts(
         tallies, ("hospital", "file", "block"),
         F.min_by("is_header", "first_mid").alias("starts_with_header"),
     ))
     summaries = landing.file_summary(
-        blocks, F.min_by("starts_with_header", "block").alias("has_header")
-    ).collect()
+        blocks, staged, F.min_by("starts_with_header", "block").alias("has_header"))
 
     result = Staged(staged, staged, summaries)
     headers = Counter(r["hospital"] for r in summaries if r["has_header"])

@@ -18,7 +18,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from batchgate.errors import BatchError
-from batchgate.sources import files
+from batchgate.session import scratch_folder
+from batchgate.sources import files, fingerprint
 
 # One CSV field: quoted (with doubled quotes, and whatever trails the closing quote) or
 # bare.  Possessive repeats keep the match linear and off the Java stack.
@@ -32,8 +33,6 @@ _TOKEN = rf',("{_QUOTED}(?:"[^,]*+|\z)|(?!")[^,]*+)'
 # Fixed value: longest field a record that spans lines may have, in characters.
 FIELD_LIMIT = 131072
 
-_PRIME = 2147483647
-
 
 class Delivery(NamedTuple):
     """One site's files as listed at one moment."""
@@ -158,34 +157,16 @@ def with_fields(records: DataFrame, columns: Sequence[str], keep: Sequence[str])
 # --- locators and fingerprints ------------------------------------------------------
 
 
-_SUMS = ("s0a", "s1a", "s0b", "s1b")
-
-
-def line_sums(lines: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Per group (at least a split): line count, first ``mid`` and sums of ``line_hash``.
-
-    ``s0`` sums a line's hash, ``s1`` its hash times its place, both modulo a prime and
-    in two lanes.  Sums combine before any shuffle, and ``s1`` shifts to file-wide line
-    numbers afterwards, so the outcome does not depend on how the file was split.
-    """
-    place = F.col("mid") % _PRIME
-    lanes = {"a": F.col("line_hash"), "b": F.shiftright("line_hash", 31)}
-    sums = []
-    for lane, bits in lanes.items():
-        value = F.pmod(bits, F.lit(_PRIME).cast("long"))
-        sums.append((F.sum(value) % _PRIME).alias(f"s0{lane}"))
-        sums.append((F.sum(value * place % _PRIME) % _PRIME).alias(f"s1{lane}"))
+def line_counts(lines: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per group (at least a split): line count and first ``mid``."""
     return lines.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("lines"), F.min("mid").alias("first_mid"), *sums
-    )
+        F.count(F.lit(1)).alias("lines"), F.min("mid").alias("first_mid"))
 
 
-def merge_sums(sums: DataFrame, by: Sequence[str], *extra: Column) -> DataFrame:
-    """Roll :func:`line_sums` up to fewer columns."""
-    return sums.groupBy(*by).agg(
-        F.sum("lines").alias("lines"), F.min("first_mid").alias("first_mid"),
-        *[(F.sum(c) % _PRIME).alias(c) for c in _SUMS], *extra,
-    )
+def merge_counts(counts: DataFrame, by: Sequence[str], *extra: Column) -> DataFrame:
+    """Roll :func:`line_counts` up to fewer columns."""
+    return counts.groupBy(*by).agg(
+        F.sum("lines").alias("lines"), F.min("first_mid").alias("first_mid"), *extra)
 
 
 def with_offsets(blocks: DataFrame) -> DataFrame:
@@ -208,17 +189,16 @@ def locate(rows: DataFrame, offsets: DataFrame) -> DataFrame:
     ).drop("offset", "first_mid")
 
 
-def file_summary(blocks_with_offsets: DataFrame, *extra: Column) -> DataFrame:
-    """Per file: lines and split-independent hash sums."""
-    shift = F.pmod(F.col("offset") + 1 - F.col("first_mid"), F.lit(_PRIME).cast("long"))
-    sums = []
-    for lane in ("a", "b"):
-        s0, s1 = F.col(f"s0{lane}"), F.col(f"s1{lane}")
-        sums.append((F.sum(s0) % _PRIME).alias(f"s0{lane}"))
-        sums.append((F.sum((s1 + shift * s0 % _PRIME) % _PRIME) % _PRIME).alias(f"s1{lane}"))
-    return blocks_with_offsets.groupBy("hospital", "file").agg(
-        F.sum("lines").alias("lines"), *sums, *extra
-    )
+def file_summary(blocks_with_offsets: DataFrame, lines: DataFrame, *extra: Column) -> list:
+    """Per file: ``lines`` and the ``root`` of its tree of line digests.
+
+    ``lines`` are materialised, with ``mid`` and ``line_digest``.
+    """
+    files_seen = blocks_with_offsets.groupBy("hospital", "file").agg(
+        F.sum("lines").alias("lines"), *extra)
+    most = files_seen.agg(F.max("lines")).first()[0] or 0
+    roots = fingerprint.file_roots(lines, blocks_with_offsets, most)
+    return files_seen.join(roots, ["hospital", "file"], "left").collect()
 
 
 def line_hash(line: Column) -> Column:
@@ -238,23 +218,28 @@ def digest_of_files(
             row = by_file.get((delivery.site, name))
             if row is None and info.size:
                 raise BatchError("SOURCE_CHANGED")  # listed, but not among what was read
-            sums = [row[c] for c in ("lines", "s0a", "s0b", "s1a", "s1b")] if row else []
-            digest.update(f"{name}\n{info.size}\n{sums}\n".encode())
+            content = f"{row['lines']} {row['root']}" if row else ""
+            digest.update(f"{name!r}\n{info.size}\n{content}\n".encode())
     return digest.hexdigest()
 
 
 def input_fingerprint(spark: SparkSession, folder: str, sites: Sequence[str],
                       line_sep: str | None = None) -> str:
-    """Content fingerprint of a delivery: one scan, one shuffle of a row per split.
+    """Content fingerprint of a delivery: one scan, which writes 32 bytes a line for the tree.
 
     With ``line_sep`` LF it tells apart deliveries that differ in their line ends alone.
     """
     deliveries = list_delivery(spark, folder, sites)
-    lines = read_lines(spark, [data_path(folder, s) for s in sites], line_sep)
-    hashed = lines.withColumn("line_hash", line_hash(F.col("value"))).drop("value")
-    summaries = file_summary(
-        with_offsets(line_sums(hashed, ("hospital", "file", "block")))
-    ).collect()
+    scratch = scratch_folder(spark)
+    try:
+        lines = read_lines(spark, [data_path(folder, s) for s in sites], line_sep)
+        lines.withColumn("line_digest", fingerprint.line_digest(F.col("value"))).drop(
+            "value").write.parquet(scratch)
+        digests = spark.read.parquet(scratch)
+        blocks = with_offsets(line_counts(digests, ("hospital", "file", "block")))
+        summaries = file_summary(blocks, digests)
+    finally:
+        files.delete_tree(spark, scratch)
     return digest_of_files(deliveries, control_texts(spark, deliveries), summaries)
 
 

@@ -244,7 +244,7 @@ def test_only_quoted_lines_are_sorted(spark, small_splits, tmp_path):
         "stays": landing.stays_open(value), "opens": landing.opens(value),
     }).write.parquet(str(tmp_path / "stage"))
     staged = spark.read.parquet(str(tmp_path / "stage"))
-    blocks = landing.with_offsets(landing.line_sums(staged, ("hospital", "file", "block")))
+    blocks = landing.with_offsets(landing.line_counts(staged, ("hospital", "file", "block")))
     events = staged.where("opens or not stays").select(*landing.LINE_KEY, "opens", "stays")
     intervals = landing.spanning_intervals(events, blocks)
     sparse = landing.interval_lines(intervals).select(*landing.LINE_KEY, "record")
@@ -263,7 +263,7 @@ def test_a_quote_that_never_closes_is_one_interval(spark, small_splits, tmp_path
         "line_hash": landing.line_hash(value), "stays": landing.stays_open(value),
         "opens": landing.opens(value)}).write.parquet(str(tmp_path / "stage"))
     staged = spark.read.parquet(str(tmp_path / "stage"))
-    blocks = landing.with_offsets(landing.line_sums(staged, ("hospital", "file", "block")))
+    blocks = landing.with_offsets(landing.line_counts(staged, ("hospital", "file", "block")))
     intervals = landing.spanning_intervals(
         staged.where("opens or not stays").select(*landing.LINE_KEY, "opens", "stays"), blocks)
     assert intervals.select("record").distinct().count() == 1

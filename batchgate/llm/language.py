@@ -7,8 +7,8 @@
 * **Host**: a prior per host, smoothed towards that of its parent domain, which is smoothed
   towards that of the whole table.
 
-Trigrams are learned from a bounded sample, about TRAIN_ROWS texts of at most TRAIN_CHARS
-characters for each of the MAX_LANGUAGES languages declared most.  Everything else is counted by
+Trigrams are learned from a bounded sample, the first TRAIN_CHARS characters of about TRAIN_ROWS
+texts for each of the MAX_LANGUAGES languages declared most; whole texts are judged.  Everything else is counted by
 grouped aggregation over all rows, by what their text alone says.
 
 A row is rejected if no language is more likely than ``und`` or the best has less than
@@ -125,8 +125,9 @@ def fit_text_model(docs: DataFrame, text_col: str, declared_col: str) -> TextMod
     rates = F.create_map(*[F.lit(x) for r in counts
                            for x in (r.l, min(1.0, 1.2 * TRAIN_ROWS / r.n))])
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)
-    chosen = rows.where((F.length("text") <= TRAIN_CHARS) & (
-        place < F.try_element_at(rates, F.col("l")))).distinct()
+    # Long texts are cut, not left out: a language may have no others.
+    chosen = rows.where(place < F.try_element_at(rates, F.col("l"))).select(
+        "l", F.left("text", F.lit(TRAIN_CHARS)).alias("text")).distinct()
     order = Window.partitionBy("l").orderBy(F.xxhash64("text", F.lit(1)), "text")
     samples: dict[str, list[str]] = {}
     for r in chosen.withColumn("k", F.row_number().over(order)).where(

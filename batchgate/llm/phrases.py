@@ -8,8 +8,8 @@ that has not completed its cycle, before one pass per length if the corpus is ev
 
 What is active is told to the tasks by an array of fixed size: a phrase's place in it, by hash,
 holds the step from which extensions of the phrase count.  The start of a longer phrase is the
-later one of its two parts' steps, so every task finds by itself whether a phrase is within its
-cycle.  Two phrases in one place can only let more phrases be counted, never fewer, and each of
+latest of its two parts' steps and starts, so every task finds by itself whether a phrase is
+within its cycle.  Two phrases in one place can only let more phrases be counted, never fewer, and each of
 those for a full cycle too; the counts themselves are exact, by grouped aggregation over keys of
 64-bit word hashes.  Tasks count slices of a million words before they send anything; between
 steps only phrases within their cycle are carried, in a written table.
@@ -173,8 +173,10 @@ def slice_counts(words: np.ndarray, lang: int, starts: np.ndarray, step: int,
         live = np.flatnonzero(both <= step)
         if not len(live) or width == LONGEST:
             return
-        before[live] = starts[places([np.broadcast_to(seed, len(live)),
-                                      *(words[live + k] for k in range(width))], bits)]
+        # Not before the phrase itself counts, whatever else lies in its place: until then its
+        # extensions are not seen, and their cycle would be cut short.
+        before[live] = np.maximum(both[live], starts[places(
+            [np.broadcast_to(seed, len(live)), *(words[live + k] for k in range(width))], bits)])
 
 
 def _counted(shard: DataFrame, starts, step: int, shards: int) -> DataFrame:

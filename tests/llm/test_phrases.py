@@ -107,3 +107,20 @@ def test_full_activation_array_changes_nothing(spark, monkeypatch, tables):
     want = brute(rows, 6)
     monkeypatch.setattr(p, "PLACE_BITS", (1, 1))
     assert want and mined(frame, min_count=6) == want
+
+
+@pytest.mark.parametrize("bits", [4, 8])
+def test_shared_places_cut_no_cycle_short(spark, monkeypatch, bits):
+    """A phrase whose place was taken early starts with its parts, and so do its extensions.
+
+    Rare words reach the threshold in the last shard, after phrases that share their places.
+    """
+    rng = np.random.default_rng(5)
+    rows = [("en", " ".join(f"{x}{k}" for x in "abcde"[:rng.integers(2, 6)]))
+            for k in range(60) for _ in range(int(rng.integers(2, 40)))]
+    rng.shuffle(rows)
+    rows = [(str(a), str(b)) for a, b in rows]
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    want = brute(rows, 8)
+    monkeypatch.setattr(p, "PLACE_BITS", (bits, bits))
+    assert want and mined(frame, min_count=8) == want

@@ -594,13 +594,14 @@ def generated_rows(spark, sf_dir):
 # --- publishing -----------------------------------------------------------------------------
 
 
-def _publish(spark, sf_dir, rows=None, store=None, **options):
+def _publish(spark, sf_dir, rows=None, store=None, times=1, **options):
     rows = delivered(spark, sf_dir, one_day=True) if rows is None else rows
     store = store or scratch_folder(spark)
     folder = deliver_files(spark, rows)
     try:
-        report = run_batch(spark, folder, store, BATCH_DAY.isoformat(), max_reject_ratio=1.0,
-                           **options)
+        for _ in range(times):
+            report = run_batch(spark, folder, store, BATCH_DAY.isoformat(), max_reject_ratio=1.0,
+                               **options)
     finally:
         files.delete_tree(spark, folder)
     return store, report
@@ -636,8 +637,7 @@ def published_quarantine(spark, sf_dir):
 @query
 def publish_replay(spark, sf_dir):
     """The same delivery twice: the ledger shows two runs and one content digest."""
-    store, _ = _publish(spark, sf_dir)
-    _publish(spark, sf_dir, store=store)
+    store, _ = _publish(spark, sf_dir, times=2)
     ledger = stores.runs(spark, store)
     field = lambda f: F.get_json_object("metrics_json", f"$.{f}")
     return ledger.groupBy("status").agg(

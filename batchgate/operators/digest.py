@@ -48,7 +48,8 @@ def _group_depths(copies: DataFrame, by: Sequence[str]) -> DataFrame:
     return copies.groupBy(*by).agg(depth.alias("depth"))
 
 
-def tree_digest(hashes: DataFrame, depth: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+def tree_digest(hashes: DataFrame, depth: int | None = None, by: Sequence[str] = (),
+                distinct: bool = False) -> DataFrame:
     """Columns ``by`` plus ``digest`` over the column ``h`` of row hashes (hex).
 
     Copies of a row are counted first and stand in the tree as one, so a row that repeats any
@@ -56,11 +57,16 @@ def tree_digest(hashes: DataFrame, depth: int | None = None, by: Sequence[str] =
     sorted children; leaves collect the rows that share ``depth`` hex digits, and upper nodes
     carry their prefix in front of their hash.  Order and partitioning do not matter, and no value
     grows with the table.  Without ``depth`` every group of ``by`` has its own, which depends on
-    its rows alone.  Without ``by`` an empty table gives the empty string.
+    its rows alone.  Without ``by`` an empty table gives the empty string.  With ``distinct`` the
+    caller knows that no row repeats within its group, and the shuffle that counts copies is left
+    out; the digest is the same.
     """
     by = list(by)
     node = "sha2(listagg(b, X'') WITHIN GROUP (ORDER BY b), 256)"
-    copies = hashes.groupBy(*by, "h").agg(F.count(F.lit(1)).alias("n"))
+    if distinct:
+        copies = hashes.select(*by, "h", F.lit(1).cast("long").alias("n"))
+    else:
+        copies = hashes.groupBy(*by, "h").agg(F.count(F.lit(1)).alias("n"))
     if depth is None:
         path = scratch_folder(hashes.sparkSession)  # the rows behind the hashes are read once
         copies.write.parquet(path)

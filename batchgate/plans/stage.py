@@ -59,8 +59,12 @@ def _token_columns(contract: Contract) -> list[str]:
 
 
 def stage_lines(spark: SparkSession, paths: Sequence[str], day: date, key: bytes,
-                contract: Contract) -> DataFrame:
-    """Every line as a record of its own; lines that cannot be one say so in ``kind``."""
+                contract: Contract, typed: bool = True) -> DataFrame:
+    """Every line as a record of its own; lines that cannot be one say so in ``kind``.
+
+    Without ``typed`` no row is classified: ``reason`` is null and the published columns are
+    missing.
+    """
     value = F.col("value")
     lines = landing.read_lines(spark, paths).withColumns({
         "line_hash": landing.line_hash(value), "line_digest": line_digest(value),
@@ -68,6 +72,9 @@ def stage_lines(spark: SparkSession, paths: Sequence[str], day: date, key: bytes
         "long": landing.is_long(value),
     })
     keep = (*landing.LINE_KEY[1:], "line_hash", "line_digest", "kind", "stays", "long")
+    if not typed:
+        return landing.with_fields(lines, contract.columns, ("hospital", *keep)).select(
+            "hospital", *keep, "is_header", F.lit(None).cast("string").alias("reason"))
     return pack_tokens(typed_rows(lines, day, key, contract, keep), _token_columns(contract))
 
 
@@ -140,14 +147,16 @@ def stage_spanning(spark: SparkSession, paths: Sequence[str], spanning: DataFram
 
 
 def stage(spark: SparkSession, deliveries: Sequence[Delivery], folder: str, day: date, key: bytes,
-          contract: Contract, scratch: str) -> Staged:
+          contract: Contract, scratch: str, typed: bool = True) -> Staged:
     """Scan the delivery once; put line-spanning records together where a site has any.
 
-    The tokens of ``accepted`` are packed.
+    The tokens of ``accepted`` are packed.  Without ``typed`` the rows are only counted and
+    digested, for a batch that its files have stopped already: ``accepted`` and ``rejected`` are
+    the scanned lines then, and no row has a reason.
     """
     sites = [d.site for d in deliveries]
     paths = [landing.data_path(folder, s) for s in sites]
-    stage_lines(spark, paths, day, key, contract).write.option(
+    stage_lines(spark, paths, day, key, contract, typed).write.option(
         "compression", "lz4").parquet(f"{scratch}/stage")
     staged = spark.read.parquet(f"{scratch}/stage")
 
@@ -191,6 +200,8 @@ def stage(spark: SparkSession, deliveries: Sequence[Delivery], folder: str, day:
             # The header line of each file went through the contract like any other line.
             header = headers.pop(row["hospital"], 0) if row["is_header"] else 0
             result.tally(row["hospital"], row["reason"], row["lines"] - header)
+    if not typed:
+        return result
 
     rows = single.where(F.col("kind") == "row")
     result.accepted = rows.where(F.col("reason").isNull()).select(*CANONICAL)

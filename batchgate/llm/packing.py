@@ -315,7 +315,10 @@ def solve(histogram: dict[int, int], capacity: int) -> Packing:
             left[kinds] -= times * copies
             packing.append((tuple((int(lengths[k]), int(c)) for k, c in zip(kinds, copies)),
                             times))
-    return _best_fit(packing, dict(zip(lengths.tolist(), left.tolist())), capacity)
+    packed = _best_fit(packing, dict(zip(lengths.tolist(), left.tolist())), capacity)
+    # Where many lengths are few, rounding can cost more than the patterns save.
+    plain = _best_fit([], histogram, capacity)
+    return min(packed, plain, key=lambda p: sum(times for _, times in p))
 
 
 def _best_fit(packing: Packing, left: dict[int, int], capacity: int) -> Packing:

@@ -93,3 +93,9 @@ def test_solution_holds_exactly_the_histogram(histogram):
     assert got == histogram
     plain = sum(t for _, t in packing._best_fit([], histogram, 60))
     assert sequences <= 1.05 * plain + 2
+
+
+def test_solution_is_no_worse_than_best_fit():
+    histogram = {17: 154, 11: 1, 22: 60, 5: 145}
+    packed, plain = packing.solve(histogram, 60), packing._best_fit([], histogram, 60)
+    assert sum(t for _, t in packed) <= sum(t for _, t in plain)

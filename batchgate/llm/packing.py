@@ -27,6 +27,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,27 +46,29 @@ CACHED_WORDS = 800_000
 # Part of the fractional solution that is bought whole; the rest is rounded by best fit.
 KEPT = 0.9
 _BREAK = "<|startoftext|>"
-_LETTERS = re.compile("[a-zß-öø-ÿ]+").fullmatch
+# Words that the tokenizer's normal form only lower-cases, and how it parts them.
+_PLAIN = re.compile("(?!.*<[|])[!-~À-ÖØ-öø-ÿ]+").fullmatch
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+# The tokenizer's characters for bytes: printable ones stand for themselves, others follow 255.
+_BYTE_CHARS = dict(zip(
+    (b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)),
+    range(256, 512)))
 
 
 class WordEncoder:
     """Token ids of whole texts, with the ids of words seen before kept in memory.
 
     The tokenizer never merges across white space, so a text's ids are those of its words.
-    Each unknown word is encoded once, many at a time with a special token between them.  Words are
-    known by 128 bits of hash, which keeps a worker's memory small between its tasks.
+    Each unknown word is encoded once: plain ones are parted here and merged by the tokenizer's
+    model alone, others go through all of it, many at a time with a special token between them.
+    Words are known by 128 bits of hash, which keeps a worker's memory small between its tasks.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Lower-case Latin letters need no normal form and are one piece between white space.
-        self.quick = Tokenizer.from_file(path)
-        self.quick.normalizer = normalizers.Sequence([])
-        self.quick.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.merged = self.tokenizer.model.tokenize
         self.stop = self.tokenizer.token_to_id(_BREAK)
         self.clear()
 
@@ -73,7 +76,7 @@ class WordEncoder:
         # Known words by two hashes of their bytes, in the order of the first: 24 bytes a word.
         self.keys = np.zeros(1, np.uint64)
         self.checks = np.zeros(1, np.uint64)
-        self.place = np.zeros(1, np.int64)
+        self.place = np.zeros(1, np.int32)
         self.flat = np.zeros(0, np.int32)
         self.starts = np.zeros(2, np.int64)  # the empty word is known and has no ids
 
@@ -97,37 +100,55 @@ class WordEncoder:
 
     def _find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of words, and which are known."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        order = np.argsort(keys)
+        at = np.empty(len(keys), np.int64)
+        at[order] = np.searchsorted(self.keys, keys[order])  # sorted, for the processor's cache
+        at = np.minimum(at, len(self.keys) - 1)
         return self.place[at], (self.keys[at] == keys) & (self.checks[at] == checks)
 
-    def _learn(self, words: list[str], keys: np.ndarray, checks: np.ndarray) -> None:
-        letters, other, odd = [], [], []
+    def _plain_ids(self, word: str) -> list[int]:
+        word = word.lower()
+        if word.isascii():
+            parts = (word,) if word.isalpha() else _PARTS(word)
+        else:
+            parts = [part.encode().decode("latin-1").translate(_BYTE_CHARS)
+                     for part in _PARTS(word)]
+        return [token.id for part in parts for token in self.merged(part)]
+
+    def _learn(self, words: list[str], keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Numbers of the new words."""
+        plain, other, odd = [], [], []
         for k, word in enumerate(words):
-            (letters if _LETTERS(word) else odd if "<|" in word else other).append(k)
+            (plain if _PLAIN(word) else odd if "<|" in word else other).append(k)
         counts, parts = [], [self.flat]
-        for tokenizer, plain in ((self.quick, letters), (self.tokenizer, other)):
-            for at in range(0, len(plain), 4000):
-                ids = np.array(tokenizer.encode(
-                    f" {_BREAK} ".join([words[k] for k in plain[at:at + 4000]]),
-                    add_special_tokens=False).ids, np.int32)
-                ends = np.flatnonzero(np.append(ids, self.stop) == self.stop)
-                counts.append(np.diff(ends, prepend=-1) - 1)
-                parts.append(ids[ids != self.stop])
+        for at in range(0, len(plain), 4000):
+            found = [self._plain_ids(words[k]) for k in plain[at:at + 4000]]
+            counts.append(np.array([len(ids) for ids in found]))
+            parts.append(np.fromiter(chain.from_iterable(found), np.int32))
+        for at in range(0, len(other), 4000):
+            ids = np.array(self.tokenizer.encode(
+                f" {_BREAK} ".join([words[k] for k in other[at:at + 4000]]),
+                add_special_tokens=False).ids, np.int32)
+            ends = np.flatnonzero(np.append(ids, self.stop) == self.stop)
+            counts.append(np.diff(ends, prepend=-1) - 1)
+            parts.append(ids[ids != self.stop])
         for k in odd:
             ids = self.tokenizer.encode(words[k], add_special_tokens=False).ids
             counts.append(np.array([len(ids)]))
             parts.append(np.array(ids, np.int32))
-        new = np.array(letters + other + odd)
+        new = np.array(plain + other + odd)
+        numbers = np.empty(len(new), np.int32)
+        numbers[new] = len(self.starts) - 1 + np.arange(len(new))
         # The new words, sorted, go between the known ones.
-        order = np.argsort(keys[new], kind="stable")
-        place = (len(self.starts) - 1 + np.arange(len(new)))[order]
-        new = new[order]
+        new = np.argsort(keys, kind="stable")
+        place = numbers[new]
         at = np.searchsorted(self.keys, keys[new], "right")
         self.keys, self.checks, self.place = (
             np.insert(old, at, more) for old, more in (
                 (self.keys, keys[new]), (self.checks, checks[new]), (self.place, place)))
         self.flat = np.concatenate(parts)
         self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts)))
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's ids end."""
@@ -145,16 +166,17 @@ class WordEncoder:
             self.clear()
             at, known = self._find(keys, checks)
         if not known.all():
-            self._learn(coded.dictionary.filter(pa.array(~known)).to_pylist(),
-                        keys[~known], checks[~known])
-            at, _ = self._find(keys, checks)
+            at[~known] = self._learn(coded.dictionary.filter(pa.array(~known)).to_pylist(),
+                                     keys[~known], checks[~known])
         begin = self.starts[at] if len(at) else np.zeros(0, np.int64)
         size = (self.starts[at + 1] - begin) if len(at) else begin
         codes = coded.indices.to_numpy()
         sizes = size[codes]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) - np.repeat(ends - sizes - begin[codes], sizes)
+        kind = np.int32 if max(total, len(self.flat)) < 1 << 31 else np.int64
+        place = np.repeat((begin[codes] - (ends - sizes)).astype(kind), sizes)
+        place += np.arange(total, dtype=kind)
         return self.flat[place], np.append(0, ends)[bounds[1:]]
 
 

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer
 from batchgate.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+_TOKENIZER = Tokenizer.from_file(PATH)
 ODD = [None, "", "  \n", "one", "One, two. THREE!! <|endoftext|> <|ENDOFTEXT|>", "don't stop 'til 3.5",
        "été́ ﬁne x y", "same", "same", "word " * 5000, "x" * 9000]
 
@@ -99,3 +101,37 @@ def test_solution_is_no_worse_than_best_fit():
     histogram = {17: 154, 11: 1, 22: 60, 5: 145}
     packed, plain = packing.solve(histogram, 60), packing._best_fit([], histogram, 60)
     assert sum(t for _, t in packed) <= sum(t for _, t in plain)
+
+
+WORDS = st.text(st.sampled_from(
+    "abstrevlmdABST019²½'’.,%&-_<|>~\"éÉßñÿÀÞ×÷ªºµ́\xa0\xad界ЖѪǅİẞﬁ"), min_size=1, max_size=9)
+
+
+@given(st.lists(st.one_of(WORDS, st.sampled_from(
+    ["don't", "we'll", "x''s", "<|endoftext|>", "a<|startoftext|>b", "<|ENDOFTEXT|>"])),
+    max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_words_have_the_tokenizers_ids(words):
+    encoder, tokenizer = packing.WordEncoder.__new__(packing.WordEncoder), _TOKENIZER
+    encoder.tokenizer, encoder.merged = tokenizer, tokenizer.model.tokenize
+    encoder.stop = tokenizer.token_to_id("<|startoftext|>")
+    encoder.clear()
+    texts = [" ".join(words), " \n".join(reversed(words)), *words[:3]]
+    for _ in range(2):  # unknown words, then known ones
+        ids, ends = encoder.encode(pa.array(texts, pa.string()))
+        got = [part.tolist() for part in np.split(ids, ends)[:len(texts)]]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_plain_words_are_merged_by_the_model_alone(monkeypatch):
+    """Not by the whole tokenizer, which takes several times as long a word and a copy of it."""
+    encoder = packing.WordEncoder(PATH)
+
+    class Whole:
+        def encode(self, *_, **__):
+            raise AssertionError("the whole tokenizer")
+
+    monkeypatch.setattr(encoder, "tokenizer", Whole())
+    text = "One two, don't: l'été 3.5% ÀÉ x-y straße ~_~ 'tis"
+    ids, _ = encoder.encode(pa.array([text]))
+    assert ids.tolist() == _TOKENIZER.encode(text, add_special_tokens=False).ids

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # 8 MB for any table; a full array lets more rows pass, never fewer.
 BITS = 1 << 26
+# Partitions in which the array comes to the driver.
+MAP_PARTS = 8
 
 
 def spot(column: Column | str) -> Column:
@@ -27,7 +29,9 @@ def bit_array(rows: DataFrame, column: str, place: Callable = spot) -> np.ndarra
     places = rows.select(place(column).alias("p")).select(
         F.bitmap_bucket_number("p").alias("k"), F.bitmap_bit_position("p").alias("bit"))
     bits = np.zeros(BITS // 8, np.uint8)
-    for row in places.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("m")).toLocalIterator():
+    maps = places.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("m"))
+    # The driver runs a job for each partition it iterates over.
+    for row in maps.coalesce(MAP_PARTS).toLocalIterator():
         own = np.frombuffer(row.m, np.uint8)
         bits[(row.k - 1) * 4096:(row.k - 1) * 4096 + len(own)] = own
     return bits

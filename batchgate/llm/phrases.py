@@ -47,6 +47,8 @@ SCALE = 2_000_000
 SHARDS = 3
 # Places of the activation array, as a power of two: one for 16 words, within these bounds.
 PLACE_BITS = (22, 28)
+# Partitions in which the array's bits come to the driver, 32 MB in all at most.
+MAP_PARTS = 8
 SLICE = 1 << 20
 _NEVER = 255
 _U = np.uint64
@@ -239,7 +241,9 @@ def marked(keys: DataFrame, bits: int) -> np.ndarray:
     spots = keys.select("key").mapInArrow(tidy(run), "p long").select(
         F.bitmap_bucket_number("p").alias("k"), F.bitmap_bit_position("p").alias("bit"))
     out = np.zeros(1 << bits, bool)
-    for row in spots.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("m")).toLocalIterator():
+    maps = spots.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("m"))
+    # The driver runs a job for each partition it iterates over.
+    for row in maps.coalesce(MAP_PARTS).toLocalIterator():
         own = np.unpackbits(np.frombuffer(row.m, np.uint8), bitorder="little")
         at = (row.k - 1) * 32768
         out[at:at + len(own)] |= own[:len(out) - at].astype(bool)

@@ -35,12 +35,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import CHUNK_BYTES, mixed, quoted, running_offsets, staged, tidy
+from batchgate.llm.common import (
+    CHUNK_BYTES,
+    give_back,
+    mixed,
+    quoted,
+    running_offsets,
+    staged,
+    tidy,
+)
 
 ROUNDS = 20
 ETA = 24.0
 # Text that is tokenised at once; its ids and their places take some ten times as much.
-PART_BYTES = CHUNK_BYTES // 2
+PART_BYTES = CHUNK_BYTES // 4
 # Words whose ids a Python worker keeps; beyond it the memory starts anew.
 CACHED_WORDS = 800_000
 # Part of the fractional solution that is bought whole; the rest is rounded by best fit.
@@ -226,40 +234,43 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, separator: int
         F.spark_partition_id().alias("task"))
     id_type = source.schema["doc_id"].dataType.simpleString()
 
+    def part_of(batch: pa.RecordBatch, encoder: WordEncoder, seen: np.ndarray) -> pa.RecordBatch:
+        flat, ends = encoder.encode(batch.column("text"))
+        # The separator closes each document.
+        flat = np.insert(flat, ends, separator).astype("<u4", copy=False)
+        ends = ends + np.arange(1, len(ends) + 1)
+        lengths = np.diff(ends, prepend=0)
+        owner, number, start = cut(lengths, capacity)
+        begin = (ends - lengths)[owner] + start
+        size = np.minimum(capacity, lengths[owner] - start)
+        order = np.argsort(size, kind="stable")
+        ordered = size[order]
+        first = np.searchsorted(ordered, ordered)
+        place = np.empty(len(size), np.int64)
+        place[order] = np.arange(len(size)) - first + seen[ordered]
+        seen += np.bincount(size, minlength=capacity + 1)
+        view = memoryview(flat).cast("B")
+        crc = [zlib.crc32(view[4 * a:4 * (a + n)]) for a, n in zip(begin, size)]
+        columns = {
+            "doc_id": batch.column("doc_id").take(pa.array(owner)),
+            "piece": pa.array(number.astype(np.int32)), "start": pa.array(start),
+            "length": pa.array(size), "ids_crc32": pa.array(crc, pa.int64()),
+            "task": batch.column("task").take(pa.array(owner)), "place": pa.array(place),
+        }
+        if with_ids:
+            columns["ids"] = pa.array(
+                [flat[a:a + n].astype(np.int32) for a, n in zip(begin, size)],
+                pa.list_(pa.int32()))
+        return pa.RecordBatch.from_pydict(columns)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(
             tokenizer, WordEncoder(tokenizer))
         seen = np.zeros(capacity + 1, np.int64)
         for whole in gathered(batches, "text"):
             for batch in text_chunks(whole, "text", PART_BYTES):
-                flat, ends = encoder.encode(batch.column("text"))
-                # The separator closes each document.
-                flat = np.insert(flat, ends, separator).astype("<u4")
-                ends = ends + np.arange(1, len(ends) + 1)
-                lengths = np.diff(ends, prepend=0)
-                owner, number, start = cut(lengths, capacity)
-                begin = (ends - lengths)[owner] + start
-                size = np.minimum(capacity, lengths[owner] - start)
-                order = np.argsort(size, kind="stable")
-                ordered = size[order]
-                first = np.searchsorted(ordered, ordered)
-                place = np.empty(len(size), np.int64)
-                place[order] = np.arange(len(size)) - first + seen[ordered]
-                seen += np.bincount(size, minlength=capacity + 1)
-                view = memoryview(flat).cast("B")
-                crc = [zlib.crc32(view[4 * a:4 * (a + n)]) for a, n in zip(begin, size)]
-                del order, ordered, first, ends, lengths
-                columns = {
-                    "doc_id": batch.column("doc_id").take(pa.array(owner)),
-                    "piece": pa.array(number.astype(np.int32)), "start": pa.array(start),
-                    "length": pa.array(size), "ids_crc32": pa.array(crc, pa.int64()),
-                    "task": batch.column("task").take(pa.array(owner)), "place": pa.array(place),
-                }
-                if with_ids:
-                    columns["ids"] = pa.array(
-                        [flat[a:a + n].astype(np.int32) for a, n in zip(begin, size)],
-                        pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_pydict(columns)
+                yield part_of(batch, encoder, seen)
+                give_back()  # else what parts leave adds up
 
     return source.mapInArrow(
         tidy(run), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, task int, "

@@ -135,3 +135,28 @@ def test_plain_words_are_merged_by_the_model_alone(monkeypatch):
     text = "One two, don't: l'été 3.5% ÀÉ x-y straße ~_~ 'tis"
     ids, _ = encoder.encode(pa.array([text]))
     assert ids.tolist() == _TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_parts_leave_no_memory_behind(monkeypatch, spark):
+    """A worker's memory is given back after each part, not at the end of its task only."""
+    monkeypatch.setattr(packing, "PART_BYTES", 100)
+    calls, taken = [], []
+    monkeypatch.setattr(packing, "give_back", lambda: calls.append(1))
+
+    class Source:
+        schema = {"doc_id": type("Field", (), {"dataType": type(
+            "Type", (), {"simpleString": staticmethod(lambda: "bigint")})})}
+
+        def mapInArrow(self, run, schema):
+            texts = [f"word{k} " * 30 for k in range(6)]
+            batch = pa.RecordBatch.from_pydict({
+                "doc_id": pa.array(range(6), pa.int64()), "text": pa.array(texts),
+                "task": pa.array([0] * 6, pa.int32())})
+            taken.extend(run(iter([batch])))
+
+    class Docs:
+        def select(self, *columns):
+            return Source()
+
+    packing.pieces(Docs(), PATH)
+    assert len(taken) > 1 and len(calls) == len(taken)
